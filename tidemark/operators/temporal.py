@@ -47,7 +47,7 @@ def rolling_stats(
     measures: list[Rolling],
     max_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Rolling counts and means per distinct (key, time).
+    """Rolling counts and means per distinct (key, time), copies of a row counted once.
 
     Each event enters the totals at its own second and leaves them once a span has
     passed, so every row costs one step of a running sum. A sliding frame would
@@ -59,7 +59,7 @@ def rolling_stats(
         F.struct((second + span).alias("at"), F.lit(span).cast("bigint").alias("span"))
         for span in spans
     ]
-    seen = df.groupBy(key, time).agg(
+    seen = df.distinct().groupBy(key, time).agg(
         F.count(F.lit(1)).alias("_c"),
         F.count(value).alias("_n"),
         F.sum(F.col(value).cast("double")).alias("_s"),
@@ -69,7 +69,7 @@ def rolling_stats(
         key, time, F.col("_m.at").alias("_at"), F.col("_m.span").alias("_span"),
         "_c", "_n", F.coalesce("_s", F.lit(0.0)).alias("_s"),
     )
-    grid = hot_key_grid(seen.select(key, second.alias("_at")), key, "_at", max_rows)
+    grid = hot_key_grid(df.select(key, second.alias("_at")), key, "_at", max_rows)
     group = [key]
     if grid is not None:
         moves = with_slices(moves, grid, key, "_at")
@@ -119,23 +119,33 @@ def item_window_stats(
     df: DataFrame, item="parent_asin", time="timestamp", rating="rating", max_rows=HOT_ROWS
 ) -> DataFrame:
     """Item rating count and mean over the previous 365, 90, 30 and 7 days."""
-    return rolling_stats(df.distinct(), item, time, rating, ITEM_MEASURES, max_rows)
+    return rolling_stats(df, item, time, rating, ITEM_MEASURES, max_rows)
 
 
 def user_window_stats(
     df: DataFrame, user="user_id", time="timestamp", rating="rating", max_rows=HOT_ROWS
 ) -> DataFrame:
     """User 90-day count (current second included) and mean of earlier ratings."""
-    return rolling_stats(df.distinct(), user, time, rating, USER_MEASURES, max_rows)
+    return rolling_stats(df, user, time, rating, USER_MEASURES, max_rows)
 
 
 def previous_entries(
-    rows: DataFrame, user: str, time: str, order: list[str], entry: Column, n: int, max_rows: int
+    rows: DataFrame,
+    user: str,
+    time: str,
+    order: list[str],
+    entry: Column,
+    n: int,
+    max_rows: int,
+    source: DataFrame | None = None,
 ) -> tuple[DataFrame, list[str]]:
-    """Add ``_previous``: the last ``n`` entries before each row in (time, *order)."""
+    """Add ``_previous``: the last ``n`` entries before each row in (time, *order).
+
+    Hot users are looked for in ``source`` when given: the rows before an expensive step.
+    """
     rows = rows.withColumn("_entry", entry)
     at = F.unix_micros(F.col(time))
-    grid = hot_key_grid(rows.select(user, at.alias("_at")), user, "_at", max_rows)
+    grid = hot_key_grid((source or rows).select(user, at.alias("_at")), user, "_at", max_rows)
     group = [user]
     if grid is not None:
         rows = with_slices(rows.withColumn("_at", at), grid, user, "_at").drop("_at")
@@ -188,7 +198,7 @@ def recent_items(
     """
     rows = df.select(user, time, item, rating).distinct()
     entry = F.struct(F.col(item).alias("item"), F.unix_seconds(time).alias("at"))
-    listed, group = previous_entries(rows, user, time, [item, rating], entry, n, max_rows)
+    listed, group = previous_entries(rows, user, time, [item, rating], entry, n, max_rows, df)
     longest = Window.partitionBy(*group, time).orderBy(F.size("_previous").desc(), item, rating)
     kept = listed.withColumn("dedup_rn", F.row_number().over(longest)).filter("dedup_rn = 1")
     items = F.transform("_previous", lambda x: x["item"])

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.plans import temporal
+from tidemark.plans import sampling, temporal
 
-TOPICS = [temporal]
+TOPICS = [temporal, sampling]
 
 
 def all_queries() -> dict:

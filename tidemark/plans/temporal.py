@@ -39,7 +39,7 @@ def click_window_stats(spark, sf_dir):
     cents = F.round(F.col("rating") * 100).alias("rating")
     rows = clicks(spark, sf_dir).select("parent_asin", "timestamp", cents, "user_id")
     stats = t.rolling_stats(
-        rows.distinct(), "parent_asin", "timestamp", "rating",
+        rows, "parent_asin", "timestamp", "rating",
         [t.Rolling("cnt_7d", 7 * DAY, "count"), t.Rolling("avg_7d", 7 * DAY, "mean"),
          t.Rolling("cnt_1d_now", DAY, "count_now")],
     )
@@ -108,6 +108,7 @@ def asof_item_features(spark, sf_dir):
     joined = as_of_join(
         queries, features, "parent_asin", "timestamp",
         ["parent_asin_rating_cnt_365d", "parent_asin_rating_avg_prev_rating_365d"], 365 * DAY,
+        hot_from=rows,
     )
     return joined.select(
         "l_orderkey", "parent_asin", SECONDS().alias("sec"), SECONDS("feature_time").alias("feature_sec"),
