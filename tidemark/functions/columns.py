@@ -20,6 +20,7 @@ RECENCY_BOUNDS = [
 # First number in a price text; date in a snapshot file name.
 PRICE_PATTERN = r"\b((?:\d+\.\d*)|(?:\d+))\b"
 SNAPSHOT_PATTERN = r"_upto_(\d{4})_(\d{2})_(\d{2})(?:_\d{6})?\.parquet$"
+WHITE_SPACE = " \t\n\r\x0b\x0c"
 MONTH_PATTERN = r"year_month=(\d{4}-\d{2})"
 
 
@@ -80,9 +81,9 @@ def joined_lines(c: Column | str) -> Column:
 
 
 def parsed_tags(text: Column | str, n: int = 5) -> Column:
-    """First ``n`` comma-separated tags, trimmed, empty ones dropped."""
-    tags = F.transform(F.split(_col(text), ","), lambda t: F.trim(t))
-    return F.slice(F.filter(tags, lambda t: t != ""), 1, n)
+    """First ``n`` comma-separated tags, trimmed of any white space."""
+    strip = lambda t: F.trim(t, F.lit(WHITE_SPACE))
+    return F.slice(F.transform(F.split(strip(_col(text)), ","), strip), 1, n)
 
 
 def top_tags(tags: Column | str, n: int = 5) -> Column:
@@ -149,3 +150,30 @@ def utc_stamp(ts: Column | str, pattern: str = "yyyyMMdd_HHmmss") -> Column:
 def recommendation_json(ids: Column | str, scores: Column | str) -> Column:
     """The published payload: {"rec_item_ids": [...], "rec_scores": [...]}."""
     return F.to_json(F.struct(_col(ids).alias("rec_item_ids"), _col(scores).alias("rec_scores")))
+
+
+# Fixed value: the tagging prompt; {text} is the description.
+TAG_PROMPT = """You are an expert book classifier.
+
+Task:
+Read the book description below and generate **exactly 5** concise and meaningful tags 
+that best represent the book's **themes, audience, and literary type**. 
+Include the **format** if relevant.
+
+Guidelines:
+- Output must contain **exactly 5 tags**, separated by commas and a space.
+- Tags should be **general and conceptual** 
+- Avoid using **proper names**, **book titles**, **author names**, **award names**, or any phrase appearing directly in the description.
+- Do **not** include explanations, numbering, or extra text.
+- The output format must strictly be:
+  tag1, tag2, tag3, tag4, tag5
+
+Description: "{text}"
+
+Tags:
+"""
+
+
+def tag_prompt(text: Column | str, template: str = TAG_PROMPT) -> Column:
+    before, after = template.split("{text}")
+    return F.concat(F.lit(before), as_text(text), F.lit(after))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.plans import sampling, temporal
+from tidemark.plans import features, retrieval, sampling, temporal
 
-TOPICS = [temporal, sampling]
+TOPICS = [temporal, sampling, retrieval, features]
 
 
 def all_queries() -> dict:
