@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.plans import features, retrieval, sampling, temporal
+from tidemark.plans import features, flows, retrieval, sampling, temporal
 
-TOPICS = [temporal, sampling, retrieval, features]
+TOPICS = [temporal, sampling, retrieval, features, flows]
 
 
 def all_queries() -> dict:
