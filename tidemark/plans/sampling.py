@@ -22,6 +22,7 @@ from tidemark.plans.tables import (
 
 # Thresholds that need several rounds on the given tables without emptying them.
 MIN_USER = MIN_ITEM = 22
+TRAIN_UNTIL = "1995-06-01"
 TIES = ["user_id", "parent_asin", "rating"]
 
 
@@ -43,8 +44,8 @@ def low_activity_users(spark, sf_dir):
     return counts.filter(F.col("n_rows") < MIN_USER)
 
 
-def _split(spark, sf_dir):
-    return s.chronological_split(interactions(spark, sf_dir), "timestamp", TIES)
+def _split(spark, sf_dir, ratio=0.8):
+    return s.chronological_split(interactions(spark, sf_dir), "timestamp", TIES, ratio)
 
 
 def time_split(spark, sf_dir):
@@ -59,14 +60,14 @@ def warm_validation(spark, sf_dir):
 
 
 def cold_start_users(spark, sf_dir):
-    """Users of all orders against the users of the oldest 80 % of interactions."""
-    train, _ = _split(spark, sf_dir)
+    """Customers the oldest twentieth of interactions does not know."""
+    train, _ = _split(spark, sf_dir, 0.05)
     everyone = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
     return s.cold_start(everyone, train, "user_id")
 
 
 def cold_start_items(spark, sf_dir):
-    train, _ = _split(spark, sf_dir)
+    train, _ = _split(spark, sf_dir, 0.05)
     return s.cold_start(items(spark, sf_dir), train, "parent_asin")
 
 
@@ -93,9 +94,9 @@ def metadata_semi_join(spark, sf_dir):
 
 
 def _named(spark, sf_dir):
-    return distinct_interactions(spark, sf_dir).withColumn(
-        "user_id", F.concat(F.lit("U"), F.col("user_id").cast("string"))
-    )
+    """Training rows (before 1995-06) with text ids."""
+    rows = interactions(spark, sf_dir).filter(F.col("timestamp") < F.lit(TRAIN_UNTIL).cast("timestamp"))
+    return rows.select(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("user_id"))
 
 
 def id_map(spark, sf_dir):
@@ -103,7 +104,7 @@ def id_map(spark, sf_dir):
 
 
 def id_map_lookup(spark, sf_dir):
-    """Every customer's index in the map of users with orders; others get the map's size."""
+    """Every customer's index in the training map; others get the map's size."""
     known = id_map(spark, sf_dir)
     customers = table(spark, sf_dir, "customer").select(
         F.concat(F.lit("U"), F.col("c_custkey").cast("string")).alias("user_id"), "c_custkey"
@@ -247,10 +248,11 @@ def _core_sql() -> str:
 _SPLIT = INTERACTIONS_SQL + """, numbered AS (
   SELECT *, row_number() OVER (ORDER BY sec, user_id, parent_asin, rating) AS rn, count(*) OVER () AS total FROM interactions),
   split AS (SELECT *, CASE WHEN rn <= floor(total * 0.8) THEN 'train' ELSE 'val' END AS split FROM numbered)"""
-_MAP = DISTINCT_SQL + """, named AS (SELECT DISTINCT 'U' || user_id AS user_id FROM uniq),
+_MAP = INTERACTIONS_SQL + f""", named AS (SELECT DISTINCT 'U' || user_id AS user_id FROM interactions WHERE ts < TIMESTAMP '{TRAIN_UNTIL}'),
   map AS (SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS user_indice FROM named)"""
 _BITS = "('0x' || substr(md5({text}), 1, 15))::BIGINT"
-_DRAWS = 8
+# The first two rounds of draws: ratio + 1, then 8.
+_DRAWS = RATIO + 1 + 8
 _NEG = DISTINCT_SQL + f""", pop AS (SELECT parent_asin, count(*)::BIGINT AS weight FROM uniq GROUP BY 1),
   ranges AS (SELECT parent_asin, sum(weight) OVER (ORDER BY parent_asin)::BIGINT AS hi, weight FROM pop),
   draws AS (SELECT user_id, parent_asin AS source, sec, d,
@@ -271,9 +273,9 @@ GROUP BY 1 HAVING count(*) < {MIN_USER}""",
     "warm_validation": f"""WITH {_SPLIT} SELECT user_id, parent_asin, rating, sec FROM split WHERE split = 'val'
 AND user_id IN (SELECT user_id FROM split WHERE split = 'train')
 AND parent_asin IN (SELECT parent_asin FROM split WHERE split = 'train')""",
-    "cold_start_users": f"""WITH {_SPLIT} SELECT c_custkey AS user_id FROM customer
+    "cold_start_users": f"""WITH {_SPLIT.replace("0.8", "0.05")} SELECT c_custkey AS user_id FROM customer
 EXCEPT SELECT user_id FROM split WHERE split = 'train'""",
-    "cold_start_items": f"""WITH {_SPLIT} SELECT p_partkey AS parent_asin FROM part
+    "cold_start_items": f"""WITH {_SPLIT.replace("0.8", "0.05")} SELECT p_partkey AS parent_asin FROM part
 EXCEPT SELECT parent_asin FROM split WHERE split = 'train'""",
     "cutoff_split": f"""WITH {INTERACTIONS_SQL}, cut AS (SELECT max(sec) + 1 AS c FROM interactions WHERE ts < TIMESTAMP '2000-01-01')
 SELECT CASE WHEN sec < c THEN 'train' ELSE 'val' END AS split, count(*) AS n_rows, max(sec) AS newest
