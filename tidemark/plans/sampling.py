@@ -10,6 +10,7 @@ from tidemark.operators import negatives as neg
 from tidemark.operators import sampling as s
 from tidemark.operators import sequences as q
 from tidemark.operators import temporal as t
+from tidemark.session import materialize
 from tidemark.plans.tables import (
     DISTINCT_SQL,
     INTERACTIONS_SQL,
@@ -168,7 +169,7 @@ RATIO = 2
 
 
 def _positives(spark, sf_dir):
-    return distinct_interactions(spark, sf_dir).select(
+    return materialize(distinct_interactions(spark, sf_dir)).select(
         F.col("user_id").alias("user_indice"), F.col("parent_asin").alias("item_indice"), "timestamp", "rating"
     )
 
@@ -184,7 +185,7 @@ def _sampled(rows):
     )
     seen = rows.select("user_indice", "item_indice").distinct()
     return neg.sample_negatives(
-        keyed, neg.popularity(rows, "item_indice"), neg.without(seen, "user_indice", "item_indice"),
+        keyed, neg.popularity(rows, "item_indice"), neg.listed(seen, "user_indice", "item_indice"),
         "user_indice", "item_indice", ["user_indice", "source", "sec"], RATIO,
     ).withColumn("draw_order", F.col("draw_order").cast("bigint"))
 
@@ -203,7 +204,7 @@ def negative_samples_violations(spark, sf_dir):
 
 def skipgram_dataset(spark, sf_dir):
     """Labelled pairs: counts per user, so that the whole sample is covered."""
-    data = q.skipgram_dataset(distinct_interactions(spark, sf_dir))
+    data = q.skipgram_dataset(materialize(distinct_interactions(spark, sf_dir)))
     return data.groupBy(F.col("user").alias("user_id")).agg(
         F.sum(F.col("label").cast("bigint")).alias("n_positive"),
         F.sum((1 - F.col("label")).cast("bigint")).alias("n_negative"),
@@ -212,7 +213,7 @@ def skipgram_dataset(spark, sf_dir):
 
 def skipgram_negatives(spark, sf_dir):
     """Two never co-occurring items per skip-gram pair (rows only)."""
-    rows = distinct_interactions(spark, sf_dir)
+    rows = materialize(distinct_interactions(spark, sf_dir))
     picked = q.skipgram_negatives(rows, q.skipgram_pairs(rows))
     return picked.select("user", "item", "step", "target", F.col("parent_asin").alias("negative"), "draw_order")
 
