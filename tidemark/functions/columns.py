@@ -97,7 +97,7 @@ def id_list(text: Column | str, separator: str = ",") -> Column:
 
 
 def last_in_list(text: Column | str, separator: str = "__") -> Column:
-    return F.element_at(id_list(text, separator), -1)
+    return F.try_element_at(id_list(text, separator), F.lit(-1))
 
 
 def fixed_length(vec: Column | str, size: int = 384) -> Column:

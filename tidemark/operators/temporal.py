@@ -59,7 +59,13 @@ def rolling_stats(
         F.struct((second + span).alias("at"), F.lit(span).cast("bigint").alias("span"))
         for span in spans
     ]
-    seen = df.distinct().groupBy(key, time).agg(
+    grid = hot_key_grid(df.select(key, second.alias("_at")), key, "_at", max_rows)
+    rows = df.distinct()
+    if grid is None:
+        # Move each row once, before it is multiplied into marks: grouping and window
+        # then stay within the tasks of their key.
+        rows = rows.repartition(key)
+    seen = rows.groupBy(key, time).agg(
         F.count(F.lit(1)).alias("_c"),
         F.count(value).alias("_n"),
         F.sum(F.col(value).cast("double")).alias("_s"),
@@ -69,7 +75,6 @@ def rolling_stats(
         key, time, F.col("_m.at").alias("_at"), F.col("_m.span").alias("_span"),
         "_c", "_n", F.coalesce("_s", F.lit(0.0)).alias("_s"),
     )
-    grid = hot_key_grid(df.select(key, second.alias("_at")), key, "_at", max_rows)
     group = [key]
     if grid is not None:
         moves = with_slices(moves, grid, key, "_at")

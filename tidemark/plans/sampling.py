@@ -160,9 +160,10 @@ def skipgram_pairs(spark, sf_dir):
 
 def seen_together(spark, sf_dir):
     """For each item and the next by id: do they share a user."""
-    rows = interactions(spark, sf_dir)
+    held = q.holders(interactions(spark, sf_dir))
+    degree = held.groupBy("_item").agg(F.count(F.lit(1)).alias("weight"))
     pairs = items(spark, sf_dir).select("parent_asin", (F.col("parent_asin") + 1).alias("candidate"))
-    return q.seen_together(pairs, rows, "parent_asin", "candidate")
+    return q.seen_together(pairs, held, degree, "parent_asin", "candidate")
 
 
 RATIO = 2
@@ -214,7 +215,7 @@ def skipgram_dataset(spark, sf_dir):
 def skipgram_negatives(spark, sf_dir):
     """Two never co-occurring items per skip-gram pair (rows only)."""
     rows = materialize(distinct_interactions(spark, sf_dir))
-    picked = q.skipgram_negatives(rows, q.skipgram_pairs(rows))
+    picked = q.skipgram_negatives(rows, materialize(q.skipgram_pairs(rows)))
     return picked.select("user", "item", "step", "target", F.col("parent_asin").alias("negative"), "draw_order")
 
 
