@@ -92,3 +92,22 @@ def running_totals(
     return placed.withColumns(
         {out: F.col(out) + F.col(start) for out, start in zip(values.values(), starts)}
     ).drop("_part", *starts)
+
+
+def ranks_within(
+    df: DataFrame, key: str, order_by: Sequence[Column], name: str, max_rows: int = 1_000_000
+) -> DataFrame:
+    """1-based rank of each row within its key.
+
+    A window while no key exceeds ``max_rows``. Otherwise the rows are numbered in one
+    global order, which splits a heavy key over many tasks, and each key's first
+    number is taken off. ``order_by`` should tell rows apart.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    if counts.filter(F.col("_n") > max_rows).isEmpty():
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*order_by)))
+    numbered = row_numbers(df, [F.col(key), *order_by], "_row")
+    first = numbered.groupBy(key).agg(F.min("_row").alias("_first"))
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    joined = numbered.join(first.withColumnRenamed(key, "_key"), same)
+    return joined.withColumn(name, (F.col("_row") - F.col("_first") + 1).cast("int")).drop("_key", "_row", "_first")

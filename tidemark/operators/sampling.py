@@ -128,3 +128,18 @@ def hash_bits(keys: list, seed: int):
 def shuffled(df: DataFrame, keys: list[str], seed: int) -> DataFrame:
     """Seeded global order that does not depend on partitioning."""
     return df.orderBy(hash_bits(keys, seed), *keys)
+
+
+def overview(df: DataFrame, user="user_id", item="parent_asin", time="timestamp") -> DataFrame:
+    """Rows, newest time and approximate numbers of users and items, in one pass."""
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.max(time).alias("newest"),
+        F.approx_count_distinct(user, 0.02).alias("users"),
+        F.approx_count_distinct(item, 0.02).alias("items"),
+    )
+
+
+def approximate_rows(df: DataFrame, share: float = 0.01, seed: int = 42) -> DataFrame:
+    """Row count estimated from a sample, for a quick look between long steps."""
+    return df.sample(share, seed).agg((F.count(F.lit(1)) / share).cast("bigint").alias("n_rows"))

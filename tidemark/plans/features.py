@@ -79,6 +79,14 @@ def fixed_vectors(spark, sf_dir):
     return rows.select("vec_id", F.size(fixed).alias("size"), at(1), at(64), at(65), at(384), cut.alias("cut"))
 
 
+def item_tag_vectors(spark, sf_dir):
+    """Every item with its tag embedding in fixed shape, zeros where it has none."""
+    tags = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("parent_asin"), "embedding")
+    joined = items(spark, sf_dir).select("parent_asin").join(tags, "parent_asin", "left")
+    fixed = c.fixed_length("embedding", 384)
+    return joined.select("parent_asin", F.size(fixed).alias("size"), F.element_at(fixed, 2).alias("e2"), F.element_at(fixed, 200).alias("e200"))
+
+
 def parsed_numbers(spark, sf_dir):
     """Numbers and texts taken from free text without failing."""
     rows = table(spark, sf_dir, "events")
@@ -185,7 +193,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         price_scaled, onehot_category, category_counts, rating_stats_scaled, item_vectors, tfidf_terms,
-        category_lines, tags_top5, prompt_text, fixed_vectors, parsed_numbers, roc_auc, average_precision,
+        category_lines, tags_top5, prompt_text, fixed_vectors, item_tag_vectors, parsed_numbers, roc_auc, average_precision,
         pr_table, weighted_logloss, ranking_metrics, label_ranks, metric_diff, metric_log_summary,
         final_gap, promotion_candidates, undeployed_versions,
     )
@@ -240,6 +248,8 @@ FROM documents""",
     "prompt_text": f"SELECT doc_id, '{_PROMPT_BEFORE}' || coalesce(text, '') || '{_PROMPT_AFTER}' AS prompt FROM documents",
     "fixed_vectors": """SELECT vec_id, 384 AS size, embedding[1]::DOUBLE AS e1, coalesce(embedding[64]::DOUBLE, 0) AS e64,
   coalesce(embedding[65]::DOUBLE, 0) AS e65, 0.0::DOUBLE AS e384, coalesce(embedding[10]::DOUBLE, 0) AS cut FROM embeddings""",
+    "item_tag_vectors": """SELECT p_partkey AS parent_asin, 384 AS size, coalesce(embedding[2]::DOUBLE, 0) AS e2, 0.0::DOUBLE AS e200
+FROM part LEFT JOIN embeddings ON vec_id = p_partkey""",
     "parsed_numbers": """SELECT event_id, coalesce(try_cast(json_extract_string(props, '$.k') AS DOUBLE), 0) AS k, 0.0::DOUBLE AS not_a_number,
   '' AS none, try_cast(nullif(regexp_extract(props, '\\b((?:\\d+\\.\\d*)|(?:\\d+))\\b', 1), '') AS DOUBLE) AS first_number,
   strftime(ts, '%Y%m%d_%H%M%S') AS stamp FROM events""",

@@ -10,6 +10,7 @@ from tidemark.operators import negatives as neg
 from tidemark.operators import sampling as s
 from tidemark.operators import sequences as q
 from tidemark.operators import temporal as t
+from tidemark.operators.ordering import row_numbers
 from tidemark.session import materialize
 from tidemark.plans.tables import (
     DISTINCT_SQL,
@@ -21,6 +22,8 @@ from tidemark.plans.tables import (
     table,
 )
 
+from tidemark.plans.temporal import _RECENT
+
 # Thresholds that need several rounds on the given tables without emptying them.
 MIN_USER = MIN_ITEM = 22
 TRAIN_UNTIL = "1995-06-01"
@@ -219,6 +222,39 @@ def skipgram_negatives(spark, sf_dir):
     return picked.select("user", "item", "step", "target", F.col("parent_asin").alias("negative"), "draw_order")
 
 
+def mapped_sequence_ids(spark, sf_dir):
+    """Recent-item texts turned into padded indices of the training items."""
+    rows = interactions(spark, sf_dir)
+    known = k.fit_id_map(rows.filter(F.col("timestamp") < F.lit(TRAIN_UNTIL).cast("timestamp")), "parent_asin", "item_indice")
+    lists = materialize(t.recent_items(rows))
+    mapped = q.mapped_sequences(
+        lists, ["user_id", "timestamp"], "user_rating_list_10_recent_asin", known, "parent_asin", "item_indice"
+    )
+    return mapped.select("user_id", F.unix_seconds("timestamp").alias("sec"), F.array_join("item_sequence", ",").alias("item_sequence"))
+
+
+def activity_overview(spark, sf_dir):
+    """One pass over the interactions; the approximate counts are reported as close or not."""
+    rows = interactions(spark, sf_dir)
+    exact = rows.agg(F.struct(F.countDistinct("user_id").alias("u"), F.countDistinct("parent_asin").alias("i"))).scalar()
+    close = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.col(b) * 0.1
+    out = s.overview(rows).withColumn("_e", exact)
+    return out.select("n_rows", F.unix_seconds("newest").alias("newest"), close("users", "_e.u").alias("users_close"), close("items", "_e.i").alias("items_close"))
+
+
+def seeded_order(spark, sf_dir):
+    """Position of every document in the seeded shuffle."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    placed = row_numbers(docs.withColumn("_bits", s.hash_bits(["doc_id"], 5)), [F.col("_bits"), F.col("doc_id")], "position")
+    return placed.select("doc_id", "position")
+
+
+def validated_join(spark, sf_dir):
+    """Interactions per main category through a join that insists on unique item keys."""
+    joined = k.many_to_one_join(interactions(spark, sf_dir), items(spark, sf_dir), ["parent_asin"])
+    return joined.groupBy("main_category").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("rating").alias("ratings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -226,7 +262,8 @@ QUERIES = {
         cold_start_items, cutoff_split, hashed_holdout, metadata_semi_join, id_map, id_map_lookup,
         id_map_reverse, indexed_history, item_popularity, sequence_frequency, user_sequences,
         skipgram_pairs, seen_together, negative_samples, negative_samples_violations,
-        skipgram_negatives, skipgram_dataset,
+        skipgram_negatives, skipgram_dataset, mapped_sequence_ids, activity_overview, seeded_order,
+        validated_join,
     )
 }
 
@@ -320,6 +357,18 @@ ON a.user_id = b.user_id AND b.parent_asin = a.parent_asin + 1
 WHERE a.parent_asin IN (SELECT p_partkey FROM part)""",
     "negative_samples": f"""WITH {_NEG} SELECT user_id AS user_indice, source, sec, drawn AS item_indice, draw_order FROM picked""",
     "negative_samples_violations": f"""WITH {DISTINCT_SQL} SELECT user_id AS user_indice, parent_asin AS source, sec FROM uniq WHERE false""",
+    "mapped_sequence_ids": f"""WITH {INTERACTIONS_SQL}, imap AS (SELECT parent_asin::VARCHAR AS item, row_number() OVER (ORDER BY parent_asin) - 1 AS i
+    FROM (SELECT DISTINCT parent_asin FROM interactions WHERE ts < TIMESTAMP '{TRAIN_UNTIL}')),
+  lists AS ({_RECENT.format(t="sec", src="interactions")}),
+  e AS (SELECT user_id, sec, unnest(string_split(user_rating_list_10_recent_asin, ',')) AS item,
+    generate_subscripts(string_split(user_rating_list_10_recent_asin, ','), 1) AS p FROM lists WHERE user_rating_list_10_recent_asin IS NOT NULL),
+  m AS (SELECT user_id, sec, list(coalesce(i, (SELECT count(*) FROM imap)) ORDER BY p) AS l FROM e LEFT JOIN imap USING (item) GROUP BY ALL)
+SELECT user_id, sec, array_to_string(list_concat(list_resize([]::BIGINT[], 10 - coalesce(len(l), 0), -1), coalesce(l, [])), ',') AS item_sequence
+FROM lists LEFT JOIN m USING (user_id, sec)""",
+    "activity_overview": f"""WITH {INTERACTIONS_SQL} SELECT count(*) AS n_rows, max(sec) AS newest, true AS users_close, true AS items_close FROM interactions""",
+    "seeded_order": f"""SELECT doc_id, row_number() OVER (ORDER BY {_BITS.format(text="concat_ws('|', doc_id, 5)")}, doc_id) AS position FROM documents""",
+    "validated_join": f"""WITH {INTERACTIONS_SQL} SELECT p_type AS main_category, count(*) AS n_rows, sum(rating) AS ratings
+FROM interactions LEFT JOIN part ON p_partkey = parent_asin GROUP BY 1""",
     "skipgram_dataset": f"""WITH {DISTINCT_SQL} SELECT user_id, 2 * (count(*) - 1) AS n_positive, 4 * (count(*) - 1) AS n_negative
 FROM uniq GROUP BY 1 HAVING count(*) > 1""",
 }
