@@ -12,6 +12,7 @@ from tidemark.operators.keys import first_per_key
 from tidemark.operators.sampling import hash_share
 from tidemark.plans.tables import CLICKS_SQL, INTERACTIONS_SQL, ITEMS_SQL, clicks, interactions, items, table
 from tidemark.plans.temporal import _ITEM_STATS
+from tidemark.session import materialize
 
 STATS = [m.name for m in t.ITEM_MEASURES]
 
@@ -47,7 +48,7 @@ def item_vectors(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
 
     latest = t.latest_per_key(t.item_window_stats(interactions(spark, sf_dir)), "parent_asin", "timestamp")
-    rows = items(spark, sf_dir).join(latest, "parent_asin")
+    rows = materialize(items(spark, sf_dir).join(latest, "parent_asin"))
     encoded = x.ItemEncoder.fit(rows, STATS).transform(rows)
     array = vector_to_array("item_vector")
     return encoded.select("parent_asin", F.size(array).alias("size"), F.round(c.dot(array, array), 6).alias("squared"))

@@ -290,8 +290,8 @@ _SPLIT = INTERACTIONS_SQL + """, numbered AS (
 _MAP = INTERACTIONS_SQL + f""", named AS (SELECT DISTINCT 'U' || user_id AS user_id FROM interactions WHERE ts < TIMESTAMP '{TRAIN_UNTIL}'),
   map AS (SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS user_indice FROM named)"""
 _BITS = "('0x' || substr(md5({text}), 1, 15))::BIGINT"
-# The first two rounds of draws: ratio + 1, then 8.
-_DRAWS = RATIO + 1 + 8
+# The first two rounds of draws: ratio, then 8.
+_DRAWS = RATIO + 8
 _NEG = DISTINCT_SQL + f""", pop AS (SELECT parent_asin, count(*)::BIGINT AS weight FROM uniq GROUP BY 1),
   ranges AS (SELECT parent_asin, sum(weight) OVER (ORDER BY parent_asin)::BIGINT AS hi, weight FROM pop),
   draws AS (SELECT user_id, parent_asin AS source, sec, d,
