@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +60,26 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per session's context.
+
+    Functions that run in workers import it; on a cluster it need not be installed there.
+    """
+    from pyarrow import fs
+
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    package, packed = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, path.relative_to(package.parent))
+    uri = f"{shared_dir(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}.zip"
+    system, path = fs.FileSystem.from_uri(uri)
+    system.create_dir(path.rpartition("/")[0], recursive=True)
+    with system.open_output_stream(path) as out:
+        out.write(packed.getvalue())
+    context.addPyFile(uri)
+    context._tidemark_shipped = True
