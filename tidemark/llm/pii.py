@@ -7,7 +7,7 @@ from functools import cache
 
 from pyspark.sql import DataFrame
 
-from tidemark.llm.secrets import spans_of
+from tidemark.llm.secret_scan import spans_of
 
 # Kinds in output order, and the base pattern of each.
 BASE = ("email", "ip", "card", "phone")

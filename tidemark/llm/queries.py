@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, pii, secrets, tokens, toxicity, warc
+from tidemark.llm import chat, decontam, mixing, neardup, pii, secret_scan, tokens, topk, toxicity, warc
 from tidemark.llm.common import hex_digest, joined_spans, table
 from tidemark.session import materialize
 
@@ -43,9 +43,19 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_records(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
-    return _counted(secrets.find_secrets(table(spark, sf_dir, "documents")), secrets.KINDS[:3])
+    return _counted(secret_scan.find_secrets(table(spark, sf_dir, "documents")), secret_scan.KINDS[:3])
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, with the items."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +63,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op9_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every 50th."""
+    return topk.top_inner_products(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, written, and read back. Conversation -1 comes in another layout, as a list of messages."""
     rows = table(spark, sf_dir, "conversations")
@@ -63,5 +78,5 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_conversations(pieces, "conv_id")
 
 
-QUERIES = {q.__name__: q for q in (op1_warc, op2_toxicity, op3_pii, op4_token_files, op6_secrets, op8_mixing, op10_chat)}
+QUERIES = {q.__name__: q for q in (op1_warc, op2_toxicity, op3_pii, op4_token_files, op5_near_duplicates, op6_secrets, op7_decontamination, op8_mixing, op9_top_products, op10_chat)}
 ORACLE: dict[str, str] = {}
