@@ -17,7 +17,7 @@ BROADCAST_WINDOWS = 1_000_000
 
 # A capital word behind a small letter, digit, comma or semicolon is a name; a unit follows a number.
 NAME = r"(?<=[\p{Ll}\p{Nd},;]\x20)(?=\p{Lu}\p{Ll})"
-MARK = ""
+MARK = "\ue000"
 TOKEN = r"\x{E000}?[\p{L}\p{M}]+|[0-9]+(?:[.,][0-9]+)*|[$€£¥%°]"
 UNITS = (
     "mm cm m km in ft yd mi mg g kg t oz lb lbs ml cl l gal s sec secs min mins h hr hrs ms day days week weeks month months year years "
@@ -40,7 +40,7 @@ def _templates(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     # Texts without numbers, names and signs have no placeholder: the usual case is one lower().
     plain = ~F.exists("_raw", lambda t: t.rlike(r"^[0-9$€£¥%°\x{E000}]"))
     word = F.when(plain, F.transform("_raw", lambda t: F.lower(t))).otherwise(F.transform("_raw", lambda t, i: F.coalesce(kind(t, i), F.lower(t))))
-    worded = named.where(F.size("_raw") >= WINDOW).select(*keys, "_raw", word.alias("_word"), plain.alias("_plain"))
+    worded = named.select(*keys, "_raw", word.alias("_word"), plain.alias("_plain"))
     hashed = worded.select(*keys, "_raw", "_word", "_plain", F.transform("_word", lambda w: F.xxhash64(w)).alias("_hash"))
     part = lambda i: F.slice(F.col("_word"), i + 1, WINDOW)
     slot = lambda w: w.startswith("#")
@@ -49,19 +49,16 @@ def _templates(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     )
     key = lambda i: F.xxhash64(*[F.get(F.col("_hash"), i + k) for k in range(WINDOW)])
     no_values = F.lit(None).cast("array<string>")
-    windows = F.when(
-        F.col("_plain"), F.transform(F.sequence(F.lit(0), F.size("_hash") - WINDOW), lambda i: F.struct(key(i).alias("hash"), no_values.alias("values")))
-    ).otherwise(
-        F.transform(
-            F.sequence(F.lit(0), F.size("_hash") - WINDOW),
-            lambda i: F.struct(key(i).alias("hash"), F.when(F.exists(part(i), slot), values(i)).alias("values")),
-        )
-    )
+    every = F.sequence(F.lit(0), F.size("_hash") - WINDOW)
+    windows = F.when(F.size("_hash") < WINDOW, None).when(
+        F.col("_plain"), F.transform(every, lambda i: F.struct(key(i).alias("hash"), no_values.alias("values")))
+    ).otherwise(F.transform(every, lambda i: F.struct(key(i).alias("hash"), F.when(F.exists(part(i), slot), values(i)).alias("values"))))
     return hashed.select(*keys, windows.alias("windows"))
 
 
 def _exploded(templates: DataFrame, keys: list[str]) -> DataFrame:
-    return templates.select(*keys, F.posexplode("windows").alias("at", "w")).select(*keys, "at", F.col("w.hash").alias("hash"), F.col("w.values").alias("values"))
+    """One row per window. The outer form keeps Spark from testing the array in a filter further down, where it would be computed anew."""
+    return templates.select(*keys, F.posexplode_outer("windows").alias("at", "w")).select(*keys, "at", F.col("w.hash").alias("hash"), F.col("w.values").alias("values"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ from tidemark.session import materialize
 MAX_PATTERNS = 200_000
 SEED = "mix-1"
 HASH_BITS, STEP_BITS = 60, 12
+#: How often the words still missing are filled up with smaller documents.
+FILL = 4
 
 
 def weighted_targets(sizes: dict, most: int = 3, weights: tuple[int, ...] = (1, 2, 3)) -> dict:
@@ -85,40 +87,63 @@ def route(capacity: dict, members: dict, quota: dict, most: int) -> dict:
     return given
 
 
-def _bin(shift: int) -> Column:
-    return F.shiftright(F.col("_hash"), shift)
+def _prefix(rows: DataFrame, rest: dict[int, int]) -> dict[int, tuple[int, int]]:
+    """Per pattern the last hash and the words of the longest run of ``rows``, in order of hash, within ``rest`` words.
 
-
-def _crossings(rows: DataFrame, rest: dict[int, int]) -> dict[int, int]:
-    """Per pattern the largest hash that is still taken, so that the words up to it come nearest to ``rest``.
-
-    Sums over 4,096 ranges of the hash find the range where the total crosses ``rest``; a second step divides
-    that range again. Only the rows of the last range, one in 16 million, are ordered by hash. Rows of equal
-    hash (one document repeated) go together: they are taken if their middle lies before ``rest``.
+    Sums over 4,096 ranges of the hash find the range where the total passes ``rest``; a second step divides that
+    range again. Only the rows of the last range, one in 16 million, are ordered by hash. Rows of equal hash (one
+    document repeated) go together.
     """
-    spark = rows.sparkSession
-    state = {p: (0, 0) for p, r in rest.items() if r > 0}  # words before the range, the range
+    spark, found = rows.sparkSession, {}
+    schema = "_pattern bigint, _range bigint, _before bigint, _rest bigint"
+    state = {p: (0, 0) for p in rest}  # the range, the words before it
     for step in (1, 2):
-        if not state:
-            return {}
         shift = HASH_BITS - step * STEP_BITS
-        known = spark.createDataFrame([(p, b, before, rest[p]) for p, (before, b) in state.items()], "_pattern bigint, _range bigint, _before bigint, _rest bigint")
         # One row per pattern, at most MAX_PATTERNS.
+        known = spark.createDataFrame([(p, at, before, rest[p]) for p, (at, before) in state.items()], schema)
         inside = rows.join(F.broadcast(known), "_pattern").where(F.shiftright("_hash", shift + STEP_BITS) == F.col("_range"))
-        sums = inside.groupBy("_pattern", "_before", "_rest", _bin(shift).alias("_bin")).agg(F.sum("_size").alias("_words"))
+        sums = inside.groupBy("_pattern", "_before", "_rest", F.shiftright("_hash", shift).alias("_bin")).agg(F.sum("_size").alias("_words"))
         order = Window.partitionBy("_pattern").orderBy("_bin")  # at most 4,096 rows
-        total = F.col("_before") + F.sum("_words").over(order)
-        crossed = sums.withColumn("_total", total).where(F.col("_total") >= F.col("_rest"))
-        found = crossed.groupBy("_pattern").agg(F.min_by(F.struct((F.col("_total") - F.col("_words")).alias("before"), "_bin"), "_bin").alias("at"))
-        state = {r["_pattern"]: (r["at"]["before"], r["at"]["_bin"]) for r in found.collect()}
-    known = spark.createDataFrame([(p, b, before, rest[p]) for p, (before, b) in state.items()], "_pattern bigint, _range bigint, _before bigint, _rest bigint")
-    inside = rows.join(F.broadcast(known), "_pattern").where(_bin(HASH_BITS - 2 * STEP_BITS) == F.col("_range"))
+        sums = sums.withColumn("_total", F.col("_before") + F.sum("_words").over(order))
+        passed = F.when(F.col("_total") > F.col("_rest"), F.col("_bin"))
+        at = sums.groupBy("_pattern").agg(F.min(passed).alias("bin"), F.min_by(F.col("_total") - F.col("_words"), passed).alias("before"), F.max("_total").alias("all"))
+        state = {}
+        for r in at.collect():
+            if r["bin"] is None:
+                found[r["_pattern"]] = (1 << HASH_BITS, r["all"])
+            else:
+                state[r["_pattern"]] = (r["bin"], r["before"])
+        if not state:
+            return found
+    shift = HASH_BITS - 2 * STEP_BITS
+    known = spark.createDataFrame([(p, at, before, rest[p]) for p, (at, before) in state.items()], schema)
+    inside = rows.join(F.broadcast(known), "_pattern").where(F.shiftright("_hash", shift) == F.col("_range"))
     sums = inside.groupBy("_pattern", "_before", "_rest", "_hash").agg(F.sum("_size").alias("_words"))
     upto = F.col("_before") + F.sum("_words").over(Window.partitionBy("_pattern").orderBy("_hash"))
-    taken = sums.withColumn("_upto", upto).where(2 * F.col("_upto") - F.col("_words") < 2 * F.col("_rest"))
-    last = {r["_pattern"]: r["_last"] for r in taken.groupBy("_pattern").agg(F.max("_hash").alias("_last")).collect()}
-    before = {p: (b << (HASH_BITS - 2 * STEP_BITS)) - 1 for p, (_, b) in state.items()}
-    return {p: last.get(p, before[p]) for p in state}
+    taken = sums.withColumn("_upto", upto).where(F.col("_upto") <= F.col("_rest"))
+    last = {r["_pattern"]: (r["last"], r["words"]) for r in taken.groupBy("_pattern").agg(F.max("_hash").alias("last"), F.max("_upto").alias("words")).collect()}
+    return found | {p: last.get(p, ((at << shift) - 1, before)) for p, (at, before) in state.items()}
+
+
+def _picks(rows: DataFrame, rest: dict[int, int]) -> dict[int, list[tuple[int, int, int]]]:
+    """Ranges of the hash (after, up to) and a largest size: the documents taken for ``rest`` words of each pattern.
+
+    The first range ends before the document that would not fit. The next goes on behind it with documents no larger
+    than what is left, and so on, FILL times.
+    """
+    picks: dict[int, list[tuple[int, int, int]]] = {p: [] for p in rest}
+    left, after = {p: r for p, r in rest.items() if r > 0}, dict.fromkeys(rest, -1)
+    for _ in range(FILL):
+        if not left:
+            break
+        bounds = rows.sparkSession.createDataFrame([(p, after[p], r) for p, r in left.items()], "_pattern bigint, _after bigint, _cap bigint")
+        fitting = rows.join(F.broadcast(bounds), "_pattern").where((F.col("_hash") > F.col("_after")) & F.col("_size").between(1, F.col("_cap")))
+        found = _prefix(fitting.select("_pattern", "_hash", "_size"), left)
+        for p, (last, words) in found.items():
+            picks[p].append((after[p], last, left[p]))
+            after[p], left[p] = last, left[p] - words
+        left = {p: r for p, r in left.items() if p in found and r > 0 and after[p] < 1 << HASH_BITS}
+    return picks
 
 
 def mix(docs: DataFrame, sources: Column, most: int = 3, seed: str = SEED) -> DataFrame:
@@ -157,11 +182,13 @@ def mix(docs: DataFrame, sources: Column, most: int = 3, seed: str = SEED) -> Da
     patterns = spark.createDataFrame(plain, kinds)
     same = lambda a, b: a["_members"].eqNullSafe(b["_members"])
     small = counted.join(F.broadcast(patterns), same(counted, patterns)).select("_pattern", "_hash", "_size")
-    last = _crossings(small, {i: given[i] - full[i] * words[i] for i in words})
-    edges = spark.createDataFrame([(i, last.get(i, -1)) for i in words], "_pattern bigint, _last bigint")
-    plan = patterns.join(F.broadcast(edges), "_pattern")
+    picks = _picks(small, {i: given[i] - full[i] * words[i] for i in words})
+    ranges = "_pattern bigint, _picks array<struct<after:bigint,upto:bigint,most:bigint>>"
+    chosen = spark.createDataFrame([(i, picks[i]) for i in words], ranges)
+    plan = patterns.join(F.broadcast(chosen), "_pattern")
     rows = docs.select(row.alias("row"), size.alias("size"), number.alias("_hash"), named.alias("_members"))
-    copies = F.when(F.col("size") > 0, F.col("_full") + (F.col("_hash") <= F.col("_last")).cast("int")).otherwise(0)
+    once_more = F.exists("_picks", lambda p: (F.col("_hash") > p["after"]) & (F.col("_hash") <= p["upto"]) & (F.col("size") <= p["most"]))
+    copies = F.when(F.col("size") > 0, F.col("_full") + once_more.cast("int")).otherwise(0)
     return rows.join(F.broadcast(plan), same(rows, plan)).select("row", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), copies.alias("copies"))
 
 

@@ -16,7 +16,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batch_of, runs, small_batches
@@ -390,3 +390,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return found.unionByName(alone).select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"), F.coalesce(F.col("id") == F.col("comp"), F.lit(True)).alias("kept")
     )
+
+
+def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with their own columns only: one document of each component.
+
+    Of repeated rows of an id that stays, the one of the largest text stays. Rows without id stay.
+    """
+    found = materialize(near_duplicates(docs, key, text).select(F.col(key).alias("_id"), "kept").where("_id IS NOT NULL"))
+    gone = found.where("NOT kept").select("_id").distinct()
+    twice = found.groupBy("_id").agg(F.count(F.lit(1)).alias("_n"), F.min("kept").alias("kept")).where("_n > 1").select("_id", "kept")
+    gone = gone.union(twice.select("_id")).distinct()
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    stay = docs.join(gone, docs[key].cast("bigint") == gone["_id"], "left_anti")
+    again = twice.where("kept").select("_id")
+    if again.isEmpty():
+        return stay
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs[key].cast("bigint").alias("_id"), docs[text].alias("_text"))
+    order = Window.partitionBy("_id").orderBy(F.desc_nulls_last("_text"), F.xxhash64(F.to_json("row")))
+    first = rows.join(again, "_id", "left_semi").withColumn("_n", F.row_number().over(order)).where("_n = 1")
+    return stay.union(first.select(*[F.col(f"row.`{c}`") for c in docs.columns]))
