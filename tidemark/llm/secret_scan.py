@@ -31,12 +31,12 @@ CLASSES = (
     ("alnum", re.compile(r"[A-Za-z0-9]+"), 3.6),
     ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 3.8),
 )
-#: What looks random but is no secret: words without a digit, numbers, dates, UUIDs, paths of words, samples.
+#: What looks random but is no secret: words without a digit, numbers, UUIDs, paths and dates of plain words and numbers, samples.
 ALLOWED = (
     re.compile(r"[^0-9]*"),
     re.compile(r"[0-9+/_=-]*"),
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
-    re.compile(r"([A-Za-z]*[/_=-]+|[0-9]{1,4}[/_=-]+)*([A-Za-z]*|[0-9]{1,4})"),
+    re.compile(r"(?:[A-Za-z]+[0-9]{0,4}|[0-9]{1,4})?(?:[/_=+-]+(?:[A-Za-z]+[0-9]{0,4}|[0-9]{1,4}))*[/_=+-]*"),
     re.compile(r".*(example|sample|placeholder|xxxx|0123456789|abcdefgh).*", re.IGNORECASE),
 )
 _TERM = [0.0] + [n * math.log2(n) for n in range(1, WINDOW + 1)]
