@@ -79,4 +79,83 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (op1_warc, op2_toxicity, op3_pii, op4_token_files, op5_near_duplicates, op6_secrets, op7_decontamination, op8_mixing, op9_top_products, op10_chat)}
-ORACLE: dict[str, str] = {}
+#: DuckDB's way to count words and to lower A-Z alone.
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_ASCII = f"translate({{}}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_PAGES = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h FROM p),
+best AS (SELECT h, max(page_id) AS m FROM d WHERE n >= 1000 GROUP BY h HAVING count(*) > 1)
+SELECT page_id, n::BIGINT AS payload_bytes, d.h AS payload_digest,
+  CASE WHEN m IS NOT NULL AND n >= 1000 AND page_id IS DISTINCT FROM m THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM m THEN m END AS refers_to
+FROM d LEFT JOIN best ON d.h = best.h"""
+
+_NEAR = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", _ASCII.format("coalesce(text, '')"))} AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] ELSE
+    list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i+4], ' '))) END AS s FROM w),
+same AS (SELECT list_sort(s) AS s, min(doc_id) AS rep FROM sets WHERE len(s) > 0 GROUP BY 1),
+items AS (SELECT rep, len(s) AS n, unnest(s) AS x FROM same),
+met AS (SELECT a.rep AS a, b.rep AS b, count(*) AS shared, any_value(a.n) AS n, any_value(b.n) AS m FROM items a JOIN items b ON a.x = b.x AND a.rep < b.rep GROUP BY 1, 2),
+link AS (SELECT a, b FROM met WHERE 100 * shared >= 75 * (n + m - shared)),
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (SELECT rep, rep FROM same UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a),
+label AS (SELECT a AS rep, min(b) AS comp FROM reach GROUP BY a)
+SELECT doc_id, len(sets.s)::BIGINT AS n_shingles, coalesce(comp, doc_id) AS component_id, doc_id = coalesce(comp, doc_id) AS kept
+FROM sets LEFT JOIN same ON list_sort(sets.s) = same.s LEFT JOIN label ON label.rep = same.rep"""
+
+_ROUND = """
+fit{n} AS (SELECT d.source, h, d.size, sum(d.size) OVER (PARTITION BY d.source ORDER BY h) AS upto, missing FROM d JOIN left{p} l ON d.source IS NOT DISTINCT FROM l.source
+  WHERE h > after AND d.size BETWEEN 1 AND missing),
+pick{n} AS (SELECT source, h, size FROM fit{n} WHERE upto <= missing),
+left{n} AS (SELECT l.source, missing - coalesce(sum(size), 0) AS missing, coalesce(max(h), any_value(after)) AS after FROM left{p} l LEFT JOIN pick{n} p ON l.source IS NOT DISTINCT FROM p.source GROUP BY l.source, missing),"""
+
+_MIX = f"""
+WITH d AS (SELECT doc_id, source, len({_WORDS}) AS size,
+    ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 15))::BIGINT AS h FROM documents),
+named AS (SELECT source, sum(size)::BIGINT AS size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source),
+ordered AS (SELECT *, sum(size) OVER () - coalesce(sum(3 * size) OVER o, 0) AS words, sum(weight) OVER () - coalesce(sum(weight) OVER o, 0) AS shares
+  FROM named WINDOW o AS (ORDER BY 3 * size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+filled AS (SELECT *, 3 * size * shares <= words * weight AS is_full FROM ordered),
+rest AS (SELECT arg_min(words, 3 * size / weight) AS words, arg_min(shares, 3 * size / weight) AS shares FROM filled WHERE NOT is_full),
+goal AS (SELECT source, size, CASE WHEN is_full THEN 3.0 * size ELSE (weight * rest.words)::DOUBLE / rest.shares::DOUBLE END::DOUBLE AS target FROM filled, rest
+  UNION ALL SELECT source, size, 3.0 * size FROM filled WHERE (SELECT words FROM rest) IS NULL AND (SELECT count(*) FROM filled WHERE NOT is_full) > 0),
+plan AS (SELECT source, size, target, CASE WHEN size > 0 THEN least(3, floor(target)::BIGINT // size) ELSE 0 END AS copies FROM goal),
+left0 AS (SELECT source, floor(target)::BIGINT - copies * size AS missing, -1::BIGINT AS after FROM plan),
+{"".join(_ROUND.format(n=n, p=n - 1) for n in range(1, mixing.FILL + 1))}
+more AS ({" UNION ALL ".join(f"SELECT source, h, size FROM pick{n}" for n in range(1, mixing.FILL + 1))}),
+once AS (SELECT DISTINCT source, h, size FROM more)
+SELECT doc_id, d.size::BIGINT AS size, plan.size AS source_size, target, (d.size * (copies + (once.h IS NOT NULL)::INT))::BIGINT AS taken
+FROM d JOIN plan ON d.source IS NOT DISTINCT FROM plan.source
+LEFT JOIN once ON d.source IS NOT DISTINCT FROM once.source AND d.h = once.h AND d.size = once.size"""
+
+_TOP = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER o::INTEGER AS rank, vec_id, score FROM s
+WINDOW o AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER o <= 5"""
+
+
+def _escaped(text: str) -> str:
+    for mark in ("\\", *chat.CONTROL):
+        text = f"replace({text}, '{mark}', '{mark[0]}\\{mark[1:]}')"
+    return text
+
+
+_CHAT = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('{chat.BEGIN}' || replace({_escaped("role")}, chr(10), '\\n') || chr(10) || {_escaped("text")} || '{chat.END}' || chr(10)))::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id"""
+
+#: The others need a classifier, a tokenizer, entropy, or patterns that look back: brute-force tests stand in.
+ORACLE: dict[str, str] = {
+    "op1_warc": _PAGES, "op5_near_duplicates": _NEAR, "op8_mixing": _MIX, "op9_top_products": _TOP, "op10_chat": _CHAT,
+}
