@@ -118,3 +118,12 @@ def test_key_checks(spark):
     with pytest.raises(ValueError):
         k.many_to_one_join(df, right, ["user_id"])
     assert k.many_to_one_join(df, right.distinct(), ["user_id"]).count() == 3
+
+
+def test_rows_without_time_come_first(spark):
+    rows = [(f"u{i}", f"i{i}", None if i in (3, 7) else i * 100) for i in range(10)]
+    df = spark.createDataFrame(rows, "user_id string, parent_asin string, sec bigint").selectExpr("user_id", "parent_asin", "timestamp_seconds(sec) as timestamp")
+    for ratio, want in ((0.8, {0, 1, 2, 3, 4, 5, 6, 7}), (0.1, {3}), (0.2, {3, 7}), (0.3, {3, 7, 0})):
+        train, val = s.chronological_split(df, "timestamp", ["user_id"], ratio)
+        assert {int(r.user_id[1:]) for r in train.collect()} == want
+        assert train.count() + val.count() == 10

@@ -122,12 +122,15 @@ def test_capture_over_restarts(spark, tmp_path):
 
     send("a.txt", '{"user_id":"u","item_id":"i","rating":5,"timestamp":1600000000}', "{broken")
     send("b.txt", '{"user_id":"v","item_id":"j","rating":4}')
-    send("c.txt", '{"user_id":"w","item_id":"k","rating":3,"timestamp":1600000001}')
+    send("c.txt", '{"user_id":"w","item_id":"k","rating":3,"timestamp":1600000001}', '{"item_id":"k","rating":3}', "", "null")
     good = spark.read.parquet(f"{out}/good")
     assert sorted((r.user_id, r.parent_asin, str(r.event_date)) for r in good.collect()) == [
         ("u", "i", "2020-09-13"), ("v", "j", "2023-11-14"), ("w", "k", "2020-09-13")
     ]
-    assert [r.value for r in spark.read.schema("value string").parquet(f"{out}/bad").collect()] == ["{broken"]
+    bad = [r.value for r in spark.read.schema("value string").parquet(f"{out}/bad").collect()]
+    assert sorted(bad) == ["", "null", '{"item_id":"k","rating":3}', "{broken"]
+    events = cap.parsed(spark.createDataFrame([(None,), ('{"user_id":"u"}',)], "value string"))
+    assert cap.good_events(events).count() == 0 and cap.bad_events(events).count() == 2 and cap.good_events(events, 5).count() == 1
 
 
 def test_capture_to_table(spark, tmp_path):
@@ -144,18 +147,23 @@ def test_capture_to_table(spark, tmp_path):
 def test_recent_items_stream_equals_batch(spark, log, tmp_path):
     events = log.select("user_id", F.col("parent_asin").alias("item"), F.unix_seconds("timestamp").alias("at"))
     place = str(tmp_path)
-    initial = spark.createDataFrame([("u1", "old1,old2", "5,6"), ("zz", "q", "1")], "user_id string, items string, times string")
+    initial = spark.createDataFrame([("u1", ["old,1", "old2"], [5, 6]), ("zz", ["q"], [1])], "user_id string, items array<string>, times array<bigint>")
+    lost = spark.createDataFrame([(None, "x", 1), ("u1", None, 1), ("u1", "x", None)], "user_id string, item string, at bigint")
+    assert recent.without_time(lost.union(events)).count() == 3
+    events = events.union(lost)
+    setting = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     # Newer rows first, so that the second run brings late events.
     middle = 1_600_000_000 + 30 * 43_200
-    for part in (events.filter(F.col("at") >= middle), events.filter(F.col("at") < middle)):
+    for part in (events.filter(F.col("at") >= middle), events.filter((F.col("at") < middle) | F.col("at").isNull())):
         part.coalesce(1).write.mode("append").parquet(f"{place}/in")
         stream = spark.readStream.schema(events.schema).parquet(f"{place}/in")
         recent.run_available(recent.recent_items_stream(stream, initial), f"{place}/out", f"{place}/cp")
-    got = {r.user_id: list(zip(map(int, r.times.split(",")), r["items"].split(","))) for r in recent.current_lists(spark.read.parquet(f"{place}/out")).collect()}
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == setting
+    got = {r.user_id: list(zip(r.times, r["items"])) for r in recent.current_lists(spark.read.parquet(f"{place}/out")).collect()}
     for user, listed in got.items():
-        rows = sorted((r["at"], r["item"]) for r in events.collect() if r.user_id == user)
+        rows = sorted((r["at"], r["item"]) for r in recent.with_time(events).collect() if r.user_id == user)
         if user == "u1":
-            rows = [(5, "old1"), (6, "old2")] + rows
+            rows = [(5, "old,1"), (6, "old2")] + rows
         assert listed == sorted(rows)[-10:]
 
 

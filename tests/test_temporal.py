@@ -1,3 +1,4 @@
+import math
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -107,3 +108,14 @@ def test_recency_buckets(spark):
     assert [r.b for r in df.select(recency_bucket("age").alias("b")).collect()] == [0, 0, 0, 1, 1, 2, 3, 4, 5, 6, 7, 8, 9]
     seq = spark.createDataFrame([([-1, 100, 1000],)], "s array<bigint>").select(recency_buckets("s", F.lit(1000)).alias("b")).first().b
     assert seq == [-1, 1, 0]
+
+
+def test_means_are_exact_and_nan_leaves_with_its_window(spark):
+    nan, inf = float("nan"), float("inf")
+    values = [1e16, 0.1, 0.25, nan, 3.0, inf, -inf, 2.0, None, 4.5]
+    rows = spark.createDataFrame([("k", i * 10, v) for i, v in enumerate(values)], "k string, sec bigint, v double")
+    stats = t.rolling_stats(rows.selectExpr("k", "timestamp_seconds(sec) as at", "v"), "k", "at", "v", [t.Rolling("m", 10, "mean"), t.Rolling("w", 30, "mean")])
+    got = {r["s"] // 10: (r["m"], r["w"]) for r in stats.selectExpr("unix_seconds(at) as s", "m", "w").collect()}
+    assert [got[i][0] for i in (1, 2, 3)] == [1e16, 0.1, 0.25]
+    assert math.isnan(got[4][0]) and got[5][0] == 3.0 and got[6][0] == inf and got[7][0] == -inf and got[8][0] == 2.0 and got[9][0] is None
+    assert got[2][1] == (1e16 + 0.1) / 2 and math.isnan(got[6][1]) and math.isnan(got[8][1]) and got[9][1] == -inf

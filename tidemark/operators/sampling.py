@@ -26,10 +26,13 @@ def k_core(
     item="parent_asin",
     min_user: int = 5,
     min_item: int = 10,
-    max_rounds: int = 20,
+    max_rounds: int | None = None,
 ) -> CoreSample:
     """Drop users, then items, below their interaction counts until none is.
 
+    Runs until nothing more goes, or at most ``max_rounds`` rounds where given;
+    ``converged`` then tells whether that was enough.
+
     The rounds run over distinct (user, item) pairs with a count, written to the
     shared folder after each one; the full rows are read once at the end. Only the
     keys below a threshold are joined, and those are by definition never hot.
@@ -40,7 +43,7 @@ def k_core(
     left = pairs.count()
     rounds, converged = 0, left == 0
     gone_users = gone_items = None
-    while rounds < max_rounds and not converged:
+    while not converged and (max_rounds is None or rounds < max_rounds):
         few_users = pairs.groupBy(user).agg(F.sum("_n").alias("_t")).filter(F.col("_t") < min_user).select(user)
         after_users = pairs.join(few_users, user, "left_anti")
         few_items = after_users.groupBy(item).agg(F.sum("_n").alias("_t")).filter(F.col("_t") < min_item).select(item)
@@ -61,7 +64,7 @@ def _with_null(pairs: DataFrame, key: str) -> DataFrame:
 def chronological_split(
     df: DataFrame, time: str, tie_break: list[str], train_ratio: float = 0.8
 ) -> tuple[DataFrame, DataFrame]:
-    """First ``floor(ratio * rows)`` rows by time, and the rest.
+    """First ``floor(ratio * rows)`` rows by time, and the rest. Rows without time come first.
 
     Finds the day, then the second, where the running count crosses the target, and
     orders only the rows of that one second. The two windows without partition run
@@ -82,25 +85,33 @@ def chronological_split(
         return hit["_unit"], hit["_cum"] - hit["_n"]
 
     day, before_day = crossing(df, F.to_date(time), 0)
+    if day is None:  # rows without time fill the first part
+        placed = row_numbers(df.filter(F.col(time).isNull()), [F.col(c) for c in tie_break], "_row_id")
+        train = placed.filter(F.col("_row_id") <= target).drop("_row_id")
+        rest = placed.filter(F.col("_row_id") > target).drop("_row_id")
+        return train, df.filter(F.col(time).isNotNull()).unionByName(rest)
     cut, before = crossing(df.filter(F.to_date(time) == F.lit(day)), second, before_day)
     at = F.timestamp_seconds(F.lit(cut))
     after = F.timestamp_seconds(F.lit(cut + 1))
     edge = df.filter((F.col(time) >= at) & (F.col(time) < after))
     placed = row_numbers(edge, [F.col(c) for c in [time, *tie_break]], "_row_id")
     need = target - before
-    train = df.filter(F.col(time) < at).unionByName(placed.filter(F.col("_row_id") <= need).drop("_row_id"))
+    train = df.filter((F.col(time) < at) | F.col(time).isNull()).unionByName(placed.filter(F.col("_row_id") <= need).drop("_row_id"))
     val = df.filter(F.col(time) >= after).unionByName(placed.filter(F.col("_row_id") > need).drop("_row_id"))
     return train, val
 
 
 def warm_rows(val: DataFrame, train: DataFrame, user="user_id", item="parent_asin") -> DataFrame:
     """Validation rows whose user and item both occur in training."""
-    return val.join(train.select(user), user, "left_semi").join(train.select(item), item, "left_semi")
+    # Distinct keys combine before the shuffle: a hot key is one row on the right.
+    for key in (user, item):
+        val = val.join(train.select(key).distinct(), key, "left_semi")
+    return val
 
 
 def cold_start(everything: DataFrame, train: DataFrame, key: str) -> DataFrame:
     """Distinct keys that training never saw."""
-    return everything.select(key).subtract(train.select(key))
+    return everything.select(key).subtract(train.select(key).distinct())
 
 
 def cutoff_split(df: DataFrame, train: DataFrame, time: str) -> tuple[DataFrame, DataFrame]:

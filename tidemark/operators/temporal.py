@@ -46,12 +46,18 @@ def rolling_stats(
     value: str,
     measures: list[Rolling],
     max_rows: int = HOT_ROWS,
+    scale: int = 9,
 ) -> DataFrame:
     """Rolling counts and means per distinct (key, time), copies of a row counted once.
 
     Each event enters the totals at its own second and leaves them once a span has
     passed, so every row costs one step of a running sum. A sliding frame would
     add up the whole span again at every row.
+
+    What leaves must cancel exactly, so values are added up as whole numbers: the part
+    before the point and the part behind it, in units of 10 ** -scale. NaN and infinities
+    are counted and decide a mean only while they are inside its span. A value, or a sum
+    of values, beyond 9e18 stops the job.
     """
     spans = sorted({m.seconds for m in measures})
     second = F.unix_seconds(F.col(time))
@@ -60,21 +66,21 @@ def rolling_stats(
         for span in spans
     ]
     grid = hot_key_grid(df.select(key, second.alias("_at")), key, "_at", max_rows)
-    rows = df.distinct()
-    if grid is None:
-        # Move each row once, before it is multiplied into marks: grouping and window
-        # then stay within the tasks of their key.
-        rows = rows.repartition(key)
-    seen = rows.groupBy(key, time).agg(
-        F.count(F.lit(1)).alias("_c"),
-        F.count(value).alias("_n"),
-        F.sum(F.col(value).cast("double")).alias("_s"),
-    )
-    moves = seen.select(key, time, F.explode(F.array(*marks)).alias("_m"), "_c", "_n", "_s")
-    moves = moves.select(
-        key, time, F.col("_m.at").alias("_at"), F.col("_m.span").alias("_span"),
-        "_c", "_n", F.coalesce("_s", F.lit(0.0)).alias("_s"),
-    )
+    # Move each row once, before copies go and before it is multiplied into marks: without
+    # hot keys all that follows stays within the tasks of their key.
+    rows = df.repartition(key).distinct() if grid is None else df.distinct()
+    number = F.col(value).cast("double")
+    finite = F.abs(number) < F.lit(float("inf"))
+    whole = F.when(finite, F.floor(number)).cast("bigint")
+    part = F.when(finite, F.round((number - F.floor(number)) * 10**scale)).cast("bigint")
+    stats = {
+        "_c": F.count(F.lit(1)), "_n": F.count(value), "_w": F.sum(whole), "_p": F.sum(part),
+        "_nan": F.count(F.when(F.isnan(number), 1)),
+        "_up": F.count(F.when(number == float("inf"), 1)), "_down": F.count(F.when(number == float("-inf"), 1)),
+    }
+    seen = rows.groupBy(key, time).agg(*[F.coalesce(s, F.lit(0)).alias(n) for n, s in stats.items()])
+    moves = seen.select(key, time, F.explode(F.array(*marks)).alias("_m"), *stats)
+    moves = moves.select(key, time, F.col("_m.at").alias("_at"), F.col("_m.span").alias("_span"), *stats)
     group = [key]
     if grid is not None:
         moves = with_slices(moves, grid, key, "_at")
@@ -88,8 +94,7 @@ def rolling_stats(
 
     needed: dict[str, Column] = {}
     for m in measures:
-        stats = {"count": ["_c"], "count_now": ["_c"], "mean": ["_n", "_s"]}[m.kind]
-        for stat in stats:
+        for stat in ["_n", "_w", "_p", "_nan", "_up", "_down"] if m.kind == "mean" else ["_c"]:
             needed[f"{stat}_{m.seconds}"] = change(stat, m.seconds)
     order = Window.partitionBy(*group).orderBy("_at")
     earlier = order.rangeBetween(Window.unboundedPreceding, -1)
@@ -113,8 +118,10 @@ def rolling_stats(
         elif m.kind == "count_now":
             out = F.col(f"_t_c_{m.seconds}") + F.col("_now")
         else:
-            known = F.col(f"_t_n_{m.seconds}")
-            out = F.when(known > 0, F.col(f"_t_s_{m.seconds}") / known)
+            known, whole, part, nan, up, down = (F.col(f"_t{s}_{m.seconds}") for s in ("_n", "_w", "_p", "_nan", "_up", "_down"))
+            finite = (whole.cast("double") + part.cast("double") / float(10**scale)) / known
+            odd = F.when((nan > 0) | ((up > 0) & (down > 0)), float("nan")).when(up > 0, float("inf")).when(down > 0, float("-inf"))
+            out = F.when(known > 0, F.coalesce(odd, finite))
         return out.alias(m.name)
 
     return rolled.select(key, time, *[result(m) for m in measures])
@@ -201,7 +208,8 @@ def recent_items(
     share (user, time) the one with the longest list stays. The strings are NULL,
     not empty, when there is no earlier item.
     """
-    rows = df.select(user, time, item, rating).distinct()
+    # Rows move to their user once; copies go there, and the window stays there.
+    rows = df.select(user, time, item, rating).repartition(user).distinct()
     entry = F.struct(F.col(item).alias("item"), F.unix_seconds(time).alias("at"))
     listed, group = previous_entries(rows, user, time, [item, rating], entry, n, max_rows, df)
     longest = Window.partitionBy(*group, time).orderBy(F.size("_previous").desc(), item, rating)

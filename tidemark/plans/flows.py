@@ -48,7 +48,7 @@ def compaction_bins(spark, sf_dir):
 
 def _files(spark, sf_dir):
     day = F.date_format("o_orderdate", "yyyy_MM_dd")
-    names = table(spark, sf_dir, "orders").select(F.concat(F.lit("recsys_data_upto_"), day, F.lit(".parquet")).alias("path"))
+    names = table(spark, sf_dir, "orders").select(F.concat(F.lit("interactions_upto_"), day, F.lit(".parquet")).alias("path"))
     return snapshots.dated(names.distinct())
 
 
@@ -90,7 +90,7 @@ def _event_stream(spark, sf_dir):
 
 
 def stream_capture(spark, sf_dir):
-    """Event rows sent as JSON messages, one kind of them broken, captured by a stream."""
+    """Event rows as JSON messages, some broken, some without user, some NULL, captured by a stream."""
     stream = _event_stream(spark, sf_dir)
     body = F.to_json(F.struct(
         F.col("user_id").cast("string").alias("user_id"),
@@ -98,15 +98,21 @@ def stream_capture(spark, sf_dir):
         F.col("value").alias("rating"),
         F.when(F.col("event_type") != "view", F.unix_seconds(F.col("ts").cast("timestamp"))).alias("timestamp"),
     ))
-    broken = F.when(F.col("event_type") == "error", F.concat(F.lit("{broken "), body)).otherwise(body)
+    nameless = F.to_json(F.struct(F.get_json_object("props", "$.k").alias("item_id"), F.col("value").alias("rating")))
+    broken = (
+        F.when(F.col("event_type") == "error", F.concat(F.lit("{broken "), body))
+        .when(F.col("event_id") % 7 == 3, nameless)
+        .when(F.col("event_id") % 11 != 5, body)
+    )
     place = _place(spark, "capture")
     cap.capture(stream.select(broken.alias("value")), f"{place}/good", f"{place}/bad", f"{place}/checkpoints", 1700000000)
     good = spark.read.parquet(f"{place}/good").select(
-        F.lit("good").alias("kind"), "user_id", F.col("parent_asin"), "rating", F.unix_seconds("timestamp").alias("sec")
+        F.lit("good").alias("kind"), "user_id", F.col("parent_asin"), "rating", F.unix_seconds("timestamp").alias("sec"),
+        F.lit(None).cast("string").alias("value"),
     )
     bad = spark.read.schema("value string").parquet(f"{place}/bad").select(
         F.lit("bad").alias("kind"), F.lit(None).cast("string").alias("user_id"), F.lit(None).cast("string").alias("parent_asin"),
-        F.lit(None).cast("double").alias("rating"), F.lit(None).cast("bigint").alias("sec"),
+        F.lit(None).cast("double").alias("rating"), F.lit(None).cast("bigint").alias("sec"), "value",
     )
     return good.unionByName(bad)
 
@@ -118,7 +124,9 @@ def stream_recent_items(spark, sf_dir):
     )
     place = _place(spark, "recent")
     recent.run_available(recent.recent_items_stream(stream), f"{place}/out", f"{place}/checkpoint")
-    return recent.current_lists(spark.read.parquet(f"{place}/out"))
+    lists = recent.current_lists(spark.read.parquet(f"{place}/out"))
+    text = lambda name: F.concat_ws(",", F.transform(name, lambda x: x.cast("string"))).alias(name)
+    return lists.select("user_id", "at", text("items"), text("times"))
 
 
 def materialised_features(spark, sf_dir):
@@ -203,16 +211,18 @@ ORACLE = {
     UNION ALL SELECT f.i, f.month, f.n, CASE WHEN b.filled >= {BIN_ROWS} THEN b.bin + 1 ELSE b.bin END,
       CASE WHEN b.filled >= {BIN_ROWS} THEN f.n ELSE b.filled + f.n END FROM b JOIN f ON f.i = b.i + 1)
 SELECT bin, 'merged_' || min(month) || '_' || max(month) || '_id' || bin AS output, sum(n)::BIGINT AS n_rows FROM b GROUP BY bin""",
-    "newest_snapshots": """SELECT DISTINCT 'recsys_data_upto_' || strftime(o_orderdate, '%Y_%m_%d') || '.parquet' AS path,
+    "newest_snapshots": """SELECT DISTINCT 'interactions_upto_' || strftime(o_orderdate, '%Y_%m_%d') || '.parquet' AS path,
   strftime(o_orderdate, '%Y-%m-%d') AS snapshot_date FROM orders ORDER BY snapshot_date DESC LIMIT 5""",
     "freshness": """SELECT strftime(max(o_orderdate), '%Y-%m-%d') AS newest,
   max(o_orderdate)::DATE = (SELECT max(ts)::DATE FROM events) AS is_fresh FROM orders""",
     "warehouse_load": f"""WITH {INTERACTIONS_SQL} SELECT year(ts)::INTEGER AS year, count(*) AS n_rows, sum(rating) AS ratings FROM interactions GROUP BY 1""",
     "event_messages": f"""WITH {CLICKS_SQL} SELECT 'u' || user_id AS key, '{{"user_id":"u' || user_id || '","item_id":"' || parent_asin
   || '","rating":' || rating || ',"timestamp":' || CASE WHEN event_type <> 'error' THEN sec ELSE 1700000000 END || '}}' AS value FROM clicks""",
-    "stream_capture": f"""WITH {CLICKS_SQL} SELECT 'good' AS kind, user_id::VARCHAR AS user_id, parent_asin::VARCHAR AS parent_asin, rating,
-  CASE WHEN event_type = 'view' THEN 1700000000 ELSE sec END AS sec FROM clicks WHERE event_type <> 'error'
-UNION ALL SELECT 'bad', NULL, NULL, NULL, NULL FROM clicks WHERE event_type = 'error'""",
+    "stream_capture": f"""WITH {CLICKS_SQL}, m AS (SELECT *, CASE WHEN event_type = 'error' THEN 0 WHEN event_id % 7 = 3 THEN 1 WHEN event_id % 11 = 5 THEN 2 ELSE 3 END AS kind FROM clicks)
+SELECT 'good' AS kind, user_id::VARCHAR AS user_id, parent_asin::VARCHAR AS parent_asin, rating,
+  CASE WHEN event_type = 'view' THEN 1700000000 ELSE sec END AS sec, NULL AS value FROM m WHERE kind = 3
+UNION ALL SELECT 'bad', NULL, NULL, NULL, NULL, CASE kind WHEN 0 THEN '{{broken {{"user_id":"' || user_id || '","item_id":"' || parent_asin || '","rating":' || rating || ',"timestamp":' || sec || '}}'
+  WHEN 1 THEN '{{"item_id":"' || parent_asin || '","rating":' || rating || '}}' END FROM m WHERE kind < 3""",
     "stream_recent_items": f"""WITH {CLICKS_SQL}, r AS (SELECT user_id, us, parent_asin::VARCHAR AS item FROM clicks
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY us DESC, parent_asin::VARCHAR DESC) <= 10)
 SELECT user_id, max(us) AS at, string_agg(item, ',' ORDER BY us, item) AS items, string_agg(us::VARCHAR, ',' ORDER BY us, item) AS times

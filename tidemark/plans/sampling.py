@@ -58,6 +58,14 @@ def time_split(spark, sf_dir):
     return _seconds(both, "user_id", "parent_asin", "rating", "split")
 
 
+def time_split_nulls(spark, sf_dir):
+    """A split of rows of which some have no time: those come first."""
+    rows = interactions(spark, sf_dir).withColumn("timestamp", F.when(F.col("parent_asin") % 9 != 0, F.col("timestamp")))
+    train, val = s.chronological_split(rows, "timestamp", TIES, 0.6)
+    both = train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")))
+    return _seconds(both, "user_id", "parent_asin", "rating", "split")
+
+
 def warm_validation(spark, sf_dir):
     train, val = _split(spark, sf_dir)
     return _seconds(s.warm_rows(val, train), "user_id", "parent_asin", "rating")
@@ -93,7 +101,7 @@ def hashed_holdout(spark, sf_dir):
 
 def metadata_semi_join(spark, sf_dir):
     """Item metadata restricted to items that survive sampling."""
-    kept = _core(spark, sf_dir).select("parent_asin")
+    kept = _core(spark, sf_dir).select("parent_asin").distinct()
     return items(spark, sf_dir).join(kept, "parent_asin", "left_semi").select("parent_asin", "main_category", "price")
 
 
@@ -150,8 +158,7 @@ def sequence_frequency(spark, sf_dir):
 
 
 def user_sequences(spark, sf_dir):
-    lists = q.user_sequences(distinct_interactions(spark, sf_dir))
-    return lists.select("user_id", F.array_join("items", ",").alias("items"))
+    return q.user_sequences(distinct_interactions(spark, sf_dir), max_rows=60)
 
 
 def skipgram_pairs(spark, sf_dir):
@@ -258,7 +265,7 @@ def validated_join(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        kcore_sample, low_activity_users, time_split, warm_validation, cold_start_users,
+        kcore_sample, low_activity_users, time_split, time_split_nulls, warm_validation, cold_start_users,
         cold_start_items, cutoff_split, hashed_holdout, metadata_semi_join, id_map, id_map_lookup,
         id_map_reverse, indexed_history, item_popularity, sequence_frequency, user_sequences,
         skipgram_pairs, seen_together, negative_samples, negative_samples_violations,
@@ -309,6 +316,9 @@ ORACLE = {
     "low_activity_users": f"""WITH {INTERACTIONS_SQL} SELECT user_id, count(*) AS n_rows FROM interactions
 GROUP BY 1 HAVING count(*) < {MIN_USER}""",
     "time_split": f"WITH {_SPLIT} SELECT user_id, parent_asin, rating, sec, split FROM split",
+    "time_split_nulls": f"""WITH {INTERACTIONS_SQL}, n AS (SELECT user_id, parent_asin, rating, CASE WHEN parent_asin % 9 <> 0 THEN sec END AS sec FROM interactions),
+  numbered AS (SELECT *, row_number() OVER (ORDER BY sec NULLS FIRST, user_id, parent_asin, rating) AS rn, count(*) OVER () AS total FROM n)
+SELECT user_id, parent_asin, rating, sec, CASE WHEN rn <= floor(total * 0.6) THEN 'train' ELSE 'val' END AS split FROM numbered""",
     "warm_validation": f"""WITH {_SPLIT} SELECT user_id, parent_asin, rating, sec FROM split WHERE split = 'val'
 AND user_id IN (SELECT user_id FROM split WHERE split = 'train')
 AND parent_asin IN (SELECT parent_asin FROM split WHERE split = 'train')""",
@@ -342,8 +352,8 @@ FROM h""",
   count(*)::DOUBLE / (SELECT count(*) FROM interactions) AS probability FROM interactions GROUP BY 1""",
     "sequence_frequency": f"""WITH {INTERACTIONS_SQL} SELECT parent_asin, count(DISTINCT user_id) AS weight
 FROM interactions GROUP BY 1""",
-    "user_sequences": f"""WITH {DISTINCT_SQL} SELECT user_id, string_agg(parent_asin::VARCHAR, ',' ORDER BY sec, parent_asin) AS items
-FROM uniq GROUP BY 1 HAVING count(*) > 1""",
+    "user_sequences": f"""WITH {DISTINCT_SQL} SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY sec, parent_asin) AS position, parent_asin
+FROM uniq QUALIFY count(*) OVER (PARTITION BY user_id) > 1""",
     "skipgram_pairs": f"""WITH {DISTINCT_SQL}, near AS (
   SELECT user_id, sec, parent_asin, {_NEAR.format(n=1)}, {_NEAR.format(n=2)}
   FROM uniq WINDOW w AS (PARTITION BY user_id ORDER BY sec, parent_asin)),

@@ -35,9 +35,9 @@ def user_window_stats(spark, sf_dir):
 
 
 def click_window_stats(spark, sf_dir):
-    """Sub-second stamps; values in whole cents, so that means are exact."""
-    cents = F.round(F.col("rating") * 100).alias("rating")
-    rows = clicks(spark, sf_dir).select("parent_asin", "timestamp", cents, "user_id")
+    """Sub-second stamps; some values are NaN, some very large: they count while they are in the window."""
+    odd = F.when(F.col("event_id") % 97 == 0, float("nan")).when(F.col("event_id") % 101 == 0, F.col("rating") * 1e12).otherwise(F.col("rating"))
+    rows = clicks(spark, sf_dir).select("parent_asin", "timestamp", odd.alias("rating"), "user_id")
     stats = t.rolling_stats(
         rows, "parent_asin", "timestamp", "rating",
         [t.Rolling("cnt_7d", 7 * DAY, "count"), t.Rolling("avg_7d", 7 * DAY, "mean"),
@@ -45,7 +45,7 @@ def click_window_stats(spark, sf_dir):
     )
     return stats.select(
         "parent_asin", F.unix_micros("timestamp").alias("us"), "cnt_7d", "cnt_1d_now",
-        "avg_7d",
+        F.when(F.isnan("avg_7d"), -1.0).when(F.col("avg_7d") < 1e6, F.round("avg_7d", 7)).otherwise(F.round(F.col("avg_7d") / 1e6, 0)).alias("avg_7d"),
     )
 
 
@@ -209,15 +209,19 @@ _ASOF = CLICKS_SQL + """, f AS (SELECT user_id, us, max(rating) AS last_value FR
   j AS (SELECT q.event_id, q.user_id, q.us, f.us AS fus, f.last_value AS v
     FROM q ASOF LEFT JOIN f ON q.user_id = f.user_id AND q.us >= f.us)"""
 
+_EXACT = "(sum(CASE WHEN NOT isnan(rating) THEN rating::DECIMAL(38, 9) END) OVER w7)::DOUBLE / (count(rating) OVER w7)"
+_MEAN = f"CASE WHEN {_EXACT} < 1e6 THEN round({_EXACT}, 7) ELSE round({_EXACT} / 1e6, 0) END"
+
 ORACLE = {
     "item_window_stats": f"WITH {INTERACTIONS_SQL} {_ITEM_STATS}",
     "user_window_stats": f"WITH {INTERACTIONS_SQL} {_USER_STATS}",
-    "click_window_stats": f"""WITH {CLICKS_SQL}, d AS (SELECT DISTINCT parent_asin, us, sec, round(rating * 100) AS rating, user_id FROM clicks)
+    "click_window_stats": f"""WITH {CLICKS_SQL}, o AS (SELECT *, CASE WHEN event_id % 97 = 0 THEN 'NaN'::DOUBLE WHEN event_id % 101 = 0 THEN rating * 1e12 ELSE rating END AS odd FROM clicks),
+  d AS (SELECT DISTINCT parent_asin, us, sec, odd AS rating, user_id FROM o)
 SELECT DISTINCT parent_asin, us,
   count(*) OVER (PARTITION BY parent_asin ORDER BY sec RANGE BETWEEN {7 * DAY} PRECEDING AND 1 PRECEDING) AS cnt_7d,
   count(*) OVER (PARTITION BY parent_asin ORDER BY sec RANGE BETWEEN {DAY} PRECEDING AND CURRENT ROW) AS cnt_1d_now,
-  avg(rating) OVER (PARTITION BY parent_asin ORDER BY sec RANGE BETWEEN {7 * DAY} PRECEDING AND 1 PRECEDING) AS avg_7d
-FROM d""",
+  CASE WHEN isnan(avg(rating) OVER w7) THEN -1 ELSE {_MEAN} END AS avg_7d
+FROM d WINDOW w7 AS (PARTITION BY parent_asin ORDER BY sec RANGE BETWEEN {7 * DAY} PRECEDING AND 1 PRECEDING)""",
     "user_recent_items": f"WITH {INTERACTIONS_SQL} " + _RECENT.format(t="sec", src="interactions"),
     "user_features": f"""WITH {INTERACTIONS_SQL}, lists AS ({_RECENT.format(t="sec", src="interactions")}),
   stats AS ({_USER_STATS})

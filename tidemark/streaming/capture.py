@@ -27,23 +27,30 @@ def folder_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def parsed(messages: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
-    """Event columns and the text of messages that do not parse."""
+    """The message as it came (``value``), its event columns, and what did not parse."""
     with_bad = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return messages.select(F.from_json("value", with_bad, options).alias("e")).select("e.*")
+    return messages.select(F.from_json("value", with_bad, options).alias("e"), "value").select("value", "e.*")
+
+
+def _seconds(as_of: int | None):
+    return F.col("timestamp") if as_of is None else F.coalesce("timestamp", F.lit(as_of).cast("bigint"))
+
+
+def _is_good(as_of: int | None):
+    return F.col(CORRUPT).isNull() & F.col("user_id").isNotNull() & _seconds(as_of).isNotNull()
 
 
 def good_events(events: DataFrame, as_of: int | None = None) -> DataFrame:
     """Parsed events as interactions; a missing timestamp becomes ``as_of`` epoch seconds."""
-    seconds = F.col("timestamp") if as_of is None else F.coalesce("timestamp", F.lit(as_of).cast("bigint"))
-    kept = events.filter(F.col(CORRUPT).isNull() & F.col("user_id").isNotNull())
-    return kept.select(
-        "user_id", F.col("item_id").alias("parent_asin"), "rating", F.timestamp_seconds(seconds).alias("timestamp")
+    return events.filter(_is_good(as_of)).select(
+        "user_id", F.col("item_id").alias("parent_asin"), "rating", F.timestamp_seconds(_seconds(as_of)).alias("timestamp")
     )
 
 
-def bad_events(events: DataFrame) -> DataFrame:
-    return events.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
+def bad_events(events: DataFrame, as_of: int | None = None) -> DataFrame:
+    """Every other message as it came: broken, empty, or without user or time."""
+    return events.filter(~_is_good(as_of)).select("value")
 
 
 def capture(messages: DataFrame, out: str, bad_out: str, checkpoints: str, as_of: int | None = None) -> None:
@@ -56,7 +63,7 @@ def capture(messages: DataFrame, out: str, bad_out: str, checkpoints: str, as_of
     good = good_events(events, as_of).withColumn("event_date", F.to_date("timestamp"))
     writes = [
         (good.writeStream.partitionBy("event_date"), out, "good"),
-        (bad_events(events).writeStream, bad_out, "bad"),
+        (bad_events(events, as_of).writeStream, bad_out, "bad"),
     ]
     running = [
         w.format("parquet")
