@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.plans import features, flows, retrieval, sampling, temporal
+from tidemark.plans import features, flows, retrieval, sampling, storage, temporal
 
-TOPICS = [temporal, sampling, retrieval, features, flows]
+TOPICS = [temporal, sampling, retrieval, features, flows, storage]
 
 
 def all_queries() -> dict:

@@ -74,18 +74,16 @@ def prompt_text(spark, sf_dir):
 
 def fixed_vectors(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
-    fixed = c.fixed_length("embedding", 384)
-    at = lambda i: F.element_at(fixed, i).alias(f"e{i}")
-    cut = F.element_at(c.fixed_length("embedding", 10), -1)
-    return rows.select("vec_id", F.size(fixed).alias("size"), at(1), at(64), at(65), at(384), cut.alias("cut"))
+    longer = rows.select("vec_id", F.posexplode(c.fixed_length("embedding", 384)).alias("slot", "value"))
+    shorter = rows.select("vec_id", F.posexplode(c.fixed_length("embedding", 10)).alias("slot", "value"))
+    return longer.withColumn("size", F.lit(384)).unionByName(shorter.withColumn("size", F.lit(10)))
 
 
 def item_tag_vectors(spark, sf_dir):
     """Every item with its tag embedding in fixed shape, zeros where it has none."""
     tags = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("parent_asin"), "embedding")
     joined = items(spark, sf_dir).select("parent_asin").join(tags, "parent_asin", "left")
-    fixed = c.fixed_length("embedding", 384)
-    return joined.select("parent_asin", F.size(fixed).alias("size"), F.element_at(fixed, 2).alias("e2"), F.element_at(fixed, 200).alias("e200"))
+    return joined.select("parent_asin", F.posexplode(c.fixed_length("embedding", 384)).alias("slot", "value"))
 
 
 def parsed_numbers(spark, sf_dir):
@@ -247,10 +245,10 @@ SELECT doc_id, term, round(x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)), 5) A
     "tags_top5": f"""SELECT doc_id, array_to_string(list_slice(list_transform(string_split(trim(text, {_WS}), ','), lambda t: trim(t, {_WS})), 1, 5), ', ') AS tags
 FROM documents""",
     "prompt_text": f"SELECT doc_id, '{_PROMPT_BEFORE}' || coalesce(text, '') || '{_PROMPT_AFTER}' AS prompt FROM documents",
-    "fixed_vectors": """SELECT vec_id, 384 AS size, embedding[1]::DOUBLE AS e1, coalesce(embedding[64]::DOUBLE, 0) AS e64,
-  coalesce(embedding[65]::DOUBLE, 0) AS e65, 0.0::DOUBLE AS e384, coalesce(embedding[10]::DOUBLE, 0) AS cut FROM embeddings""",
-    "item_tag_vectors": """SELECT p_partkey AS parent_asin, 384 AS size, coalesce(embedding[2]::DOUBLE, 0) AS e2, 0.0::DOUBLE AS e200
-FROM part LEFT JOIN embeddings ON vec_id = p_partkey""",
+    "fixed_vectors": """SELECT vec_id, size, slot::INTEGER AS slot, coalesce(embedding[slot + 1]::DOUBLE, 0) AS value
+FROM (SELECT *, unnest(range(size)) AS slot FROM embeddings, (VALUES (384), (10)) s(size))""",
+    "item_tag_vectors": """SELECT p_partkey AS parent_asin, slot::INTEGER AS slot, coalesce(embedding[slot + 1]::DOUBLE, 0) AS value
+FROM (SELECT p_partkey, unnest(range(384)) AS slot FROM part) LEFT JOIN embeddings ON vec_id = p_partkey""",
     "parsed_numbers": """SELECT event_id, coalesce(try_cast(json_extract_string(props, '$.k') AS DOUBLE), 0) AS k, 0.0::DOUBLE AS not_a_number,
   '' AS none, try_cast(nullif(regexp_extract(props, '\\b((?:\\d+\\.\\d*)|(?:\\d+))\\b', 1), '') AS DOUBLE) AS first_number,
   strftime(ts, '%Y%m%d_%H%M%S') AS stamp FROM events""",

@@ -166,7 +166,7 @@ def ranker_training_table(spark, sf_dir):
 
 
 def item2vec_vectors(spark, sf_dir):
-    """Item embeddings from user sequences (rows only: training is not repeatable elsewhere)."""
+    """Item embeddings from user sequences: every item with a neighbour has one (training is not repeatable elsewhere)."""
     vectors = m.item_embeddings(distinct_interactions(spark, sf_dir), dim=16)
     return vectors.select("id", F.size("vec").alias("size"))
 
@@ -183,6 +183,12 @@ def ranker_scores(spark, sf_dir):
     return scored.select("user_id", "parent_asin", F.unix_seconds("timestamp").alias("sec"), "label", F.round("score", 4).alias("score"))
 
 
+def ranker_scores_range(spark, sf_dir):
+    """The scored positive rows, all of them, with a check of the score's range."""
+    rows = ranker_scores(spark, sf_dir).filter("label = 1")
+    return rows.select("user_id", "parent_asin", "sec", F.col("score").between(0, 1).alias("in_range"))
+
+
 def user_top_items(spark, sf_dir):
     """All users scored against all items with vectors; the ten best each."""
     rows = clicks(spark, sf_dir)
@@ -197,13 +203,18 @@ QUERIES = {
     for f in (
         month_partition_counts, compaction_bins, newest_snapshots, freshness, warehouse_load, event_messages,
         stream_capture, stream_recent_items, materialised_features, live_features, ranker_training_table,
-        item2vec_vectors, ranker_scores, user_top_items,
+        item2vec_vectors, ranker_scores, ranker_scores_range, user_top_items,
     )
 }
 
 from tidemark.plans.temporal import _ITEM_STATS, _RECENT, _USER_STATS  # noqa: E402
 
 ORACLE = {
+    "item2vec_vectors": f"""WITH {DISTINCT_SQL}, r AS (SELECT parent_asin, count(*) OVER (PARTITION BY user_id) AS n FROM uniq)
+SELECT DISTINCT parent_asin AS id, 16 AS size FROM r WHERE n > 1""",
+    "ranker_scores_range": f"""WITH {DISTINCT_SQL}, numbered AS (SELECT *, row_number() OVER (ORDER BY sec, user_id, parent_asin, rating) AS rn, count(*) OVER () AS total FROM uniq),
+  cut AS (SELECT max(sec) + 1 AS c FROM numbered WHERE rn <= floor(total * 0.8))
+SELECT user_id, parent_asin, sec, true AS in_range FROM uniq, cut WHERE sec >= c""",
     "month_partition_counts": f"WITH {INTERACTIONS_SQL} SELECT strftime(ts, '%Y-%m') AS year_month, count(*) AS n_rows FROM interactions GROUP BY 1",
     "compaction_bins": f"""WITH RECURSIVE {INTERACTIONS_SQL}, f AS (SELECT month, n, row_number() OVER (ORDER BY month) AS i FROM
     (SELECT strftime(ts, '%Y-%m') AS month, count(*) AS n FROM interactions GROUP BY 1)),
