@@ -24,12 +24,8 @@ def price_scaled(spark, sf_dir):
 
 def onehot_category(spark, sf_dir):
     """Active slot and vector size of each item's category."""
-    from pyspark.ml.functions import vector_to_array
-
     rows = items(spark, sf_dir).select("parent_asin", "main_category")
-    out = x.with_one_hot(x.one_hot_slots(rows, "main_category"), rows, "main_category")
-    array = vector_to_array("main_category_onehot")
-    return out.select("parent_asin", (F.array_position(array, 1.0) - 1).alias("slot"), F.size(array).cast("bigint").alias("n_slots"))
+    return x.with_category_slot(rows, x.category_slots(rows, "main_category"), "main_category").select("parent_asin", "slot", "n_slots")
 
 
 def category_counts(spark, sf_dir):
