@@ -194,7 +194,7 @@ def user_top_items(spark, sf_dir):
     rows = clicks(spark, sf_dir)
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
     users = m.user_vectors(rows, vectors, 64)
-    found = top_inner_products(users, vectors, 10)
+    found = top_inner_products(users, vectors, 10, block_rows=64)
     return found.select(F.col("qid").alias("user_id"), F.col("id").alias("parent_asin"), "rank", F.round("score", 6).alias("score"))
 
 
