@@ -223,10 +223,10 @@ def skipgram_dataset(spark, sf_dir):
 
 
 def skipgram_negatives(spark, sf_dir):
-    """Two never co-occurring items per skip-gram pair (rows only)."""
+    """Two never co-occurring items per skip-gram pair."""
     rows = materialize(distinct_interactions(spark, sf_dir))
     picked = q.skipgram_negatives(rows, materialize(q.skipgram_pairs(rows)))
-    return picked.select("user", "item", "step", "target", F.col("parent_asin").alias("negative"), "draw_order")
+    return picked.select("user", "item", "step", "target", F.col("parent_asin").alias("negative"), F.col("draw_order").cast("bigint").alias("draw_order"))
 
 
 def mapped_sequence_ids(spark, sf_dir):
@@ -379,6 +379,19 @@ FROM lists LEFT JOIN m USING (user_id, sec)""",
     "seeded_order": f"""SELECT doc_id, row_number() OVER (ORDER BY {_BITS.format(text="concat_ws('|', doc_id, 5)")}, doc_id) AS position FROM documents""",
     "validated_join": f"""WITH {INTERACTIONS_SQL} SELECT p_type AS main_category, count(*) AS n_rows, sum(rating) AS ratings
 FROM interactions LEFT JOIN part ON p_partkey = parent_asin GROUP BY 1""",
+    "skipgram_negatives": f"""WITH {DISTINCT_SQL}, held AS (SELECT DISTINCT user_id, parent_asin FROM uniq),
+  ranges AS (SELECT parent_asin, sum(round(pow(n, 0.75) * 1000000)::BIGINT) OVER (ORDER BY parent_asin)::BIGINT AS hi
+    FROM (SELECT parent_asin, count(*) AS n FROM held GROUP BY 1)),
+  near AS (SELECT user_id, parent_asin, lead(parent_asin) OVER w AS c1, lead(ts) OVER w AS s1 FROM uniq WINDOW w AS (PARTITION BY user_id ORDER BY sec, parent_asin)),
+  p AS (SELECT user_id, s1 AS tm, c1 AS item, -1 AS step, c1 AS target FROM near WHERE c1 IS NOT NULL
+    UNION ALL SELECT user_id, s1, c1, 1, parent_asin FROM near WHERE c1 IS NOT NULL),
+  draws AS (SELECT p.*, d, {_BITS.format(text="concat_ws('|', user_id, strftime(tm, '%Y-%m-%d %H:%M:%S'), item, step, target, d, 42)")} % (SELECT max(hi) FROM ranges) AS x
+    FROM p, range({RATIO + 8 + 64}) r(d)),
+  hit AS (SELECT draws.*, ranges.parent_asin AS drawn FROM draws ASOF JOIN ranges ON draws.x < ranges.hi),
+  together AS (SELECT DISTINCT a.parent_asin AS target, b.parent_asin AS drawn FROM held a JOIN held b USING (user_id)),
+  fresh AS (SELECT user_id, tm, item, step, target, drawn, min(d) AS d FROM hit ANTI JOIN together USING (target, drawn) GROUP BY ALL)
+SELECT user_id AS user, item, step, target, drawn AS negative, row_number() OVER (PARTITION BY user_id, tm, item, step, target ORDER BY d) AS draw_order
+FROM fresh QUALIFY draw_order <= {RATIO}""",
     "skipgram_dataset": f"""WITH {DISTINCT_SQL} SELECT user_id, 2 * (count(*) - 1) AS n_positive, 4 * (count(*) - 1) AS n_negative
 FROM uniq GROUP BY 1 HAVING count(*) > 1""",
 }
