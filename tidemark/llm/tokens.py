@@ -9,9 +9,12 @@ The checksum is CRC-32, rotated right by 15 bits, plus a constant. The index has
 
 from __future__ import annotations
 
+import gc
+import os
 import struct
 import uuid
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -31,9 +34,14 @@ MASK = 0xA282EAD8
 HAS_ID, WIDE = 1, 2
 INDEX = np.dtype([("offset", "<u8"), ("tokens", "<u4")])
 MANIFEST = "part int, file string, documents bigint, tokens bigint, bytes bigint"
-CACHED_PIECES = 800_000
-#: A blank between white space and white space or the end: there pieces may not be encoded apart.
-INSEPARABLE = "[\\x09-\\x0D\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}] ([\\x09-\\x0D\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]|$)"
+CACHED_PIECES = 300_000
+# White space as regular expressions write it, and letters and digits on which all Unicode versions agree.
+SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+OTHER = r"[^A-Za-z0-9\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{2AF}]"
+#: A blank inside longer white space, or the cut mark itself: such texts are encoded whole.
+INSEPARABLE = rf"{SPACE} ({SPACE}|$)|\x00"
+#: A point or comma behind neither letter nor digit, a line feed beside white space or an end: cut at blanks only.
+LOOSE = rf"(^|{OTHER})[.,]|(^|{SPACE})\n|\n({SPACE}|$)"
 
 
 def masked_crc(data: bytes) -> int:
@@ -44,61 +52,97 @@ def masked_crc(data: bytes) -> int:
 class Encoder:
     """Encodes texts as the tokenizer does, each distinct piece between blanks once.
 
-    A byte-level tokenizer splits a text before it merges bytes, and always before a blank that is not part of
-    longer white space. So pieces cut there can be encoded apart. Other texts, and all texts of other kinds of
-    tokenizers, are encoded whole. Special tokens' strings in a text are ordinary text.
+    A byte-level tokenizer splits a text before it merges bytes: always before a blank that is not part of longer
+    white space, before a point or comma behind a letter or digit, and around a single line feed. So pieces cut there
+    can be encoded apart. Other texts, and all texts of other kinds of tokenizers, are encoded whole. Special tokens'
+    strings in a text are ordinary text.
     """
 
     def __init__(self, path: str):
+        # A task has one core; threads of the library would only wait for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-        self.kind = np.dtype("<u4" if self.wide else "<u2")
+        self.kind, self.code = np.dtype("<u4" if self.wide else "<u2"), "I" if self.wide else "H"
         split = self.tokenizer.pre_tokenizer
         self.by_piece = isinstance(split, pre_tokenizers.ByteLevel) and not split.add_prefix_space and split.use_regex and self.tokenizer.normalizer is None
-        self.known: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+        return [array(self.code, e.ids).tobytes() for e in found]
 
     def pieces(self, texts: list[str]) -> list[bytes]:
-        new = [t for t in texts if t not in self.known]
-        if len(self.known) + len(new) > CACHED_PIECES:
-            self.known = {t: self.known[t] for t in texts if t in self.known} if len(texts) < CACHED_PIECES else {}
-            new = [t for t in texts if t not in self.known]
-        self.known.update(zip(new, self.whole(new)))
-        return [self.known[t] for t in texts]
+        """Encoded pieces, most of them from the cache.
+
+        The cache has a young and an old half. A piece found in the old half moves to the young one, and a full
+        young half becomes the old one: frequent pieces stay, single ones go.
+        """
+        young, old = self.young, self.old
+        found = list(map(young.get, texts))
+        new = []
+        for i, coded in enumerate(found):
+            if coded is None:
+                text = texts[i]
+                coded = old.get(text)
+                if coded is None:
+                    new.append(i)
+                else:
+                    found[i] = young[text] = coded
+        lost = [texts[i] for i in new]
+        for i, text, coded in zip(new, lost, self.whole(lost)):
+            found[i] = young[text] = coded
+        if len(young) > CACHED_PIECES:
+            self.young, self.old = {}, young
+        return found
+
+    def cut(self, texts: pa.Array) -> pa.Array:
+        """Texts with a mark wherever the tokenizer surely splits them."""
+        blanks = pc.replace_substring(texts, " ", "\0 ")
+        marks = blanks
+        for mark, put in ((".", "\0."), (",", "\0,"), ("\n", "\0\n\0")):
+            marks = pc.replace_substring(marks, mark, put)
+        return pc.if_else(pc.match_substring_regex(texts, LOOSE), blanks, marks)
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """Token ids of every text; null reads as empty."""
+        """Token ids of every text; null reads as empty.
+
+        Python's collector rests meanwhile: it would look through the many small strings again and again.
+        """
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: pa.Array) -> list[np.ndarray]:
         texts = pc.fill_null(texts, "")
         if not self.by_piece:
             return [np.frombuffer(b, self.kind) for b in self.whole(texts.to_pylist())]
-        plain = pc.invert(pc.match_substring_regex(texts, INSEPARABLE))
+        joined = pc.match_substring_regex(texts, INSEPARABLE)
         out: list[np.ndarray | None] = [None] * len(texts)
-        rest = pc.indices_nonzero(pc.invert(plain)).to_pylist()
+        rest = pc.indices_nonzero(joined).to_pylist()
         for i, ids in zip(rest, self.whole(texts.take(pa.array(rest, pa.int64())).to_pylist())):
             out[i] = np.frombuffer(ids, self.kind)
-        split = pc.split_pattern(texts.filter(plain), " ")
+        plain = pc.invert(joined)
+        split = pc.split_pattern(self.cut(texts.filter(plain)), "\0")
         starts = split.offsets.to_numpy()
         coded = pc.dictionary_encode(split.flatten())
-        use = coded.indices.to_numpy().astype(np.int64)
-        inner = self.pieces([" " + p for p in coded.dictionary.to_pylist()])
-        # The first piece of a text has no blank before it.
-        heads = starts[:-1] - starts[0]
-        first, which = np.unique(use[heads], return_inverse=True)
-        inner += self.pieces(coded.dictionary.take(pa.array(first)).to_pylist())
-        use[heads] = len(coded.dictionary) + which
-        lengths = np.fromiter(map(len, inner), np.int64, len(inner)) // self.kind.itemsize
-        flat = np.frombuffer(b"".join(inner), self.kind)
-        begins = np.cumsum(lengths) - lengths
+        use = coded.indices.to_numpy()
+        found = self.pieces(coded.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, found), np.int32, len(found)) // self.kind.itemsize
+        flat = np.frombuffer(b"".join(found), self.kind)
         taken = lengths[use]
-        ends = np.cumsum(taken)
-        ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[use] - (ends - taken), taken)]
-        bounds = np.append(0, ends)[np.append(heads, len(use))]
+        ends = np.cumsum(taken, dtype=np.int32)  # a batch has far fewer than 2 ** 31 tokens
+        shift = (np.cumsum(lengths, dtype=np.int32) - lengths)[use] - (ends - taken)
+        ids = flat[np.arange(ends[-1] if len(ends) else 0, dtype=np.int32) + np.repeat(shift, taken)]
+        bounds = np.append(0, ends)[starts - starts[0]]
         for i, a, b in zip(pc.indices_nonzero(plain).to_pylist(), bounds, bounds[1:]):
             out[i] = ids[a:b]
         return out
@@ -145,7 +189,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         encode, index, at, tokens = encoder(tokenizer), [], 0, 0
         end = np.array([end_id], encode.kind).tobytes()
-        for batch in small_batches(batches, "_text", 16 << 20):
+        for batch in small_batches(batches, "_text", 6 << 20):
             made = made or create(folder, name + ".rec")
             framed = []
             for doc, ids in zip(batch.column("_id").to_pylist(), encode.encode(batch.column("_text"))):
