@@ -191,3 +191,16 @@ def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
 def test_month_of_path(spark):
     df = spark.createDataFrame([("a/year_month=2025-01/f.parquet",), ("b/f.parquet",)], "p string")
     assert [r.m for r in df.select(month_of_path("p").alias("m")).collect()] == ["2025-01", None]
+
+
+def test_stage_folders_go_when_their_block_ends(spark, log):
+    from pathlib import Path
+
+    from tidemark.operators.sampling import k_core
+
+    left = lambda: {p.name for p in Path(session.shared_dir(spark).removeprefix("file:")).glob("stage-*")}
+    before = left()
+    with session.stage_folders():
+        assert k_core(log, min_user=2, min_item=3).rows.count() > 0
+        assert left() > before
+    assert left() == before

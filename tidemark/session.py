@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import io
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 import uuid
 import zipfile
 from pathlib import Path
@@ -50,18 +52,43 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_MADE: list[str] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage, fixes values that depend on task placement, and survives
-    lost executors. Parquet keeps sizes known to the planner.
+    lost executors. Parquet keeps sizes known to the planner. The folder stays until
+    the ``stage_folders`` block around it ends, or for good where there is none.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
+    _MADE.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stage_folders() -> Iterator[None]:
+    """Remove what ``materialize`` wrote inside the block when it ends.
+
+    Write the result out before: a DataFrame made inside reads these folders only when
+    it runs.
+    """
+    from pyarrow import fs
+
+    first = len(_MADE)
+    try:
+        yield
+    finally:
+        for place in _MADE[first:]:
+            system, path = fs.FileSystem.from_uri(place)
+            if system.get_file_info(path).type == fs.FileType.Directory:
+                system.delete_dir(path)
+        del _MADE[first:]
+
+
 def ship(spark: SparkSession) -> None:
     """Give this package to the Python workers, once per session's context.
 
