@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from functools import cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +16,10 @@ from tidemark.llm.common import runs
 
 #: Words of a window, lengths of the character n-grams, buckets they are hashed to, size of their vectors.
 WINDOW, GRAMS, BITS, SIZE = 8, (3, 4, 5), 18, 8
+#: Subwords that an average counts at least; missing ones are zero vectors. So one harmless word alone decides nothing.
+FEWEST = 64
 #: Bounds of the training sample: labelled rows of each class, and characters of one text in it.
-MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1000, 2500, 20_000
+MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1000, 2500, 10_000
 WHOLE_ROUNDS, WINDOW_ROUNDS, RATE = 10, 35, 0.2
 
 
@@ -92,7 +95,7 @@ def best_windows(sums: np.ndarray, counts: np.ndarray, owner: np.ndarray, ends=N
     """The owners, highest mean, first word and end of the best window of each."""
     lo, hi = ends or window_ends(owner, WINDOW)
     total, number = np.concatenate([[0], np.cumsum(sums)]), np.concatenate([[0], np.cumsum(counts)])
-    means = (total[hi] - total[lo]) / np.maximum(1, number[hi] - number[lo])
+    means = (total[hi] - total[lo]) / np.maximum(FEWEST, number[hi] - number[lo])
     starts = np.flatnonzero(np.diff(owner, prepend=-1))
     top = np.maximum.reduceat(means, starts)
     found = np.flatnonzero(means == np.repeat(top, np.diff([*starts, len(owner)])))
@@ -100,6 +103,16 @@ def best_windows(sums: np.ndarray, counts: np.ndarray, owner: np.ndarray, ends=N
     return owner[starts], top, lo[pick], hi[pick]
 
 
+def fresh_words(codes: np.ndarray, starts: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Which words differ from the word before them in their text: a word in a row counts once."""
+    place = np.arange(len(codes)) - np.repeat(starts, np.diff([*starts, len(codes)]))
+    mixed = (codes[: len(codes)].astype(np.uint64) + (place.astype(np.uint64) << np.uint64(21))) * np.uint64(0x9E3779B97F4A7C15)
+    words = np.add.reduceat(mixed ^ (mixed >> np.uint64(29)), starts)
+    fresh = np.ones(len(starts), dtype=bool)
+    fresh[1:] = (words[1:] != words[:-1]) | (text[starts][1:] != text[starts][:-1])
+    return fresh
+
+
 def score_texts(texts: list[str], slopes: np.ndarray, bias: float) -> np.ndarray:
     """The softmax of each text's best window; a text without words gets the bias alone."""
     logits = np.full(len(texts), bias)
@@ -110,7 +123,8 @@ def score_texts(texts: list[str], slopes: np.ndarray, bias: float) -> np.ndarray
         for bucket, real in zip(*subwords(codes)):
             sums[: len(bucket)] += np.where(real, slopes[bucket], 0)
             counts[: len(bucket)] += real
-        who, top, _, _ = best_windows(np.add.reduceat(sums, starts), np.add.reduceat(counts, starts), text[starts])
+        fresh = fresh_words(codes[:-1], starts, text)
+        who, top, _, _ = best_windows(np.add.reduceat(sums, starts)[fresh], np.add.reduceat(counts, starts)[fresh], text[starts][fresh])
         logits[who] += top
     return 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
 
@@ -125,25 +139,25 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7) -> SubwordBag:
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.05, (1 << BITS, SIZE)).astype(np.float32)
     softmax, bias = rng.normal(0, 0.5, (SIZE, 2)).astype(np.float32), np.zeros(2, dtype=np.float32)
-    words = [LETTERS.findall(t.lower()) for t in texts]
-    kept = [i for i, w in enumerate(words) if w]
+    known: dict[str, int] = {}
+    lists = [np.array([known.setdefault(w, len(known)) for w, _ in groupby(LETTERS.findall(t.lower()))], dtype=np.int32) for t in texts]
+    kept = [i for i, words in enumerate(lists) if len(words)]
     wanted = np.array([toxic[i] for i in kept], dtype=np.float32)
     if not kept or wanted.min() == wanted.max():
         return SubwordBag(np.zeros_like(vectors), softmax, np.array([50, 0], dtype=np.float32))
-    known = {w: i for i, w in enumerate(dict.fromkeys(w for i in kept for w in words[i]))}
-    token = np.fromiter((known[w] for i in kept for w in words[i]), dtype=np.int64)
-    owner = np.repeat(np.arange(len(kept)), [len(words[i]) for i in kept])
-    del words
+    token = np.concatenate([lists[i] for i in kept])
+    owner = np.repeat(np.arange(len(kept), dtype=np.int32), [len(lists[i]) for i in kept])
     codes = np.frombuffer("\0".join(["", *known, ""]).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    at, gram = [], []
-    for bucket, real in zip(*subwords(codes)):
-        at.append(np.flatnonzero(real))
-        gram.append(bucket[real].astype(np.int32))
-    word_of = np.concatenate([np.cumsum(codes == 0)[a] - 1 for a in at]).astype(np.int32)
-    gram = np.concatenate(gram)
+    word_at = (np.cumsum(codes == 0) - 1).astype(np.int32)
+    pairs = [(word_at[: len(bucket)][real], bucket[real].astype(np.int32)) for bucket, real in zip(*subwords(codes))]
+    word_of, gram = (np.concatenate(p) for p in zip(*pairs))
+    del lists, codes, word_at, pairs
     grams_in = np.bincount(word_of, minlength=len(known))
     # Only buckets with an n-gram of the sample are trained; the rest stay zero.
-    seen, gram = np.unique(gram, return_inverse=True)
+    seen = np.flatnonzero(np.bincount(gram, minlength=1 << BITS))
+    place = np.zeros(1 << BITS, dtype=np.int32)
+    place[seen] = np.arange(len(seen))
+    gram = place[gram]
     everywhere, vectors = np.zeros_like(vectors), vectors[seen]
     in_token, ends = grams_in[token], window_ends(owner, WINDOW)
     edges = np.append(np.flatnonzero(np.diff(owner, prepend=-1)), len(owner))
@@ -154,13 +168,13 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7) -> SubwordBag:
         slope = softmax[:, 1] - softmax[:, 0]
         by_word = np.bincount(word_of, weights=(vectors @ slope)[gram], minlength=len(known))
         if turn <= WHOLE_ROUNDS:
-            size, total = np.maximum(1, whole), np.add.reduceat(by_word[token], edges[:-1])
+            size, total = np.maximum(FEWEST, whole), np.add.reduceat(by_word[token], edges[:-1])
             picked, of = token, owner
         else:
             _, _, lo, hi = best_windows(by_word[token], in_token, owner, ends)
             of = np.repeat(np.arange(len(lo)), hi - lo)
             picked = token[np.arange(len(of)) + np.repeat(lo - np.append(0, np.cumsum(hi - lo)[:-1]), hi - lo)]
-            size, total = np.maximum(1, np.bincount(of, weights=grams_in[picked])), np.bincount(of, weights=by_word[picked])
+            size, total = np.maximum(FEWEST, np.bincount(of, weights=grams_in[picked])), np.bincount(of, weights=by_word[picked])
         logit = total / size + bias[1] - bias[0]
         error = (1 / (1 + np.exp(-np.clip(logit, -50, 50))) - wanted) * share
         # Every n-gram of a picked word gets its window's error over the window's size.
