@@ -15,8 +15,19 @@ from tidemark.session import ship
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: Arrow batches of texts: a worker holds a batch several times over, as strings and as numbers.
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "4000"}
+
+
+def ready(spark: SparkSession) -> None:
+    """Code for the workers, and small Arrow batches from now on in this session."""
     ship(spark)
+    for name, value in BATCHES.items():
+        spark.conf.set(name, value)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -43,6 +54,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, most: int) ->
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         for start, stop in runs(sizes, most):
             yield batch.slice(start, stop - start)
+    pa.default_memory_pool().release_unused()  # the worker stays, for other tasks
 
 
 def batch_of(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
