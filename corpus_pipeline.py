@@ -9,20 +9,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontam, mixing, neardup, tokens, toxicity
-from tidemark.llm.common import table
+from tidemark.llm.common import ready, table
+from tidemark.llm.files import new_folder
 from tidemark.llm.queries import TOKENIZER
-from tidemark.session import materialize, ship
+from tidemark.session import stage_folders
 
 
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.7 by a model fitted on the labels."""
-    ship(spark)
+    ready(spark)
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    ship(spark)
+    ready(spark)
     return neardup.without_duplicates(docs)
 
 
@@ -38,7 +39,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The records of the token files, read back."""
-    ship(spark)
+    ready(spark)
     return tokens.token_records(docs, TOKENIZER)
 
 
@@ -54,10 +55,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``. What a stage wrote for itself is removed when its rows are written."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir))
+    folder = new_folder(spark, "pipeline")
+    for name, stage in STAGES:
+        with stage_folders():
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return docs
 
 
