@@ -3,7 +3,7 @@
 Two collections of ``BANDS`` bands of ``ROWS`` minhashes each give ``BANDS`` squared tables: the key of table (i, j) is
 band i of the first collection with band j of the second. So 2 * BANDS * ROWS minhashes do what BANDS**2 * 2 * ROWS would
 do otherwise. A pair of similarity s meets in some table with probability (1 - (1 - s**ROWS)**BANDS)**2: it is missed
-with a chance of 4e-5 at 0.75 and 1e-6 at 0.8. The tables are formed only where they can matter: documents are dealt by
+with a chance of 5e-5 at 0.75 and 1e-6 at 0.8. The tables are formed only where they can matter: documents are dealt by
 their first bands, and the second bands are looked at inside buckets that still hold more than one class.
 
 Pairs of a bucket are never listed. First every diagonal table (i, i) links its members to one of them. Classes follow
@@ -24,10 +24,10 @@ from tidemark.llm.graph import components
 from tidemark.session import materialize
 
 #: Words of a shingle; the least similarity in hundredths; the shape of both collections.
-SHINGLE, LEAST, BANDS, ROWS = 5, 75, 20, 3
-#: Bands of 2 * BANDS that a candidate pair must share. A pair of similarity 0.75 shares 17 on average,
-#: and fewer than 3 with a chance of 1e-7.
-SHARED = 3
+SHINGLE, LEAST, BANDS, ROWS = 5, 75, 28, 4
+#: Minhashes of all 224 that a candidate pair must share, by their lowest 8 bits. A pair of similarity 0.75
+#: shares 168 on average, and fewer than 135 with a chance below 1e-6; at 0.5 one in 500 shares as many.
+SHARED = 135
 #: Members of a block that are compared with another block in one step.
 BLOCK = 128
 #: Ids up to which a list of documents is broadcast instead of shuffling the texts.
@@ -99,18 +99,19 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return found
 
 
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """The 2 * BANDS band keys of a set that is not empty."""
+def band_keys(shingles: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """The 2 * BANDS band keys of a set that is not empty, and the lowest 8 bits of each minhash."""
     _, _, factors, offsets = _constants()
     short = (shingles >> np.uint64(32)).astype(np.uint32)
     least = np.full(len(factors), 0xFFFFFFFF, np.uint32)
     for a in range(0, len(short), 4096):
         np.minimum(least, (short[None, a : a + 4096] * factors + offsets).min(axis=1), out=least)
+    low = _mix(least.astype(np.uint64)).astype(np.uint8).tobytes()
     bands = least.reshape(2 * BANDS, ROWS).astype(np.uint64)
     key = np.zeros(2 * BANDS, np.uint64)
     for r in range(ROWS):
         key = _mix(key * STEP + bands[:, r])
-    return (key >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return (key >> np.uint64(32)).astype(np.uint32).view(np.int32), low
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
@@ -126,28 +127,29 @@ def _chunks(batches, most: int = 1 << 20):
 
 
 def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``id``, number of shingles ``n``, two checks ``s1`` and ``s2`` of the whole set, and the bands ``u`` and ``v``."""
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("u", pa.list_(pa.int32())), ("v", pa.list_(pa.int32()))])
+    """``id``, number of shingles ``n``, two checks ``s1`` and ``s2`` of the whole set, the bands ``u`` and ``v``, and a byte of each minhash."""
+    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("u", pa.list_(pa.int32())), ("v", pa.list_(pa.int32())), ("low", pa.binary())])
 
     def sign(batches):
         with np.errstate(over="ignore"):
             for batch, texts in _chunks(batches):
                 sets = shingle_sets(texts)
-                bands = [band_keys(s) if len(s) else np.zeros(0, np.int32) for s in sets]
+                bands = [band_keys(s) if len(s) else (np.zeros(0, np.int32), b"") for s in sets]
                 yield batch_of(
                     {
                         "id": batch.column("_id"),
                         "n": [len(s) for s in sets],
                         "s1": np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64),
                         "s2": np.array([_mix(s ^ STEP).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64),
-                        "u": [b[:BANDS] for b in bands],
-                        "v": [b[BANDS:] for b in bands],
+                        "u": [b[:BANDS] for b, _ in bands],
+                        "v": [b[BANDS:] for b, _ in bands],
+                        "low": [low for _, low in bands],
                     },
                     schema,
                 )
 
     named = docs.select(docs[key].cast("bigint").alias("_id"), docs[text].cast("binary").alias("_bytes"))
-    return named.mapInArrow(sign, "id bigint, n bigint, s1 bigint, s2 bigint, u array<int>, v array<int>")
+    return named.mapInArrow(sign, "id bigint, n bigint, s1 bigint, s2 bigint, u array<int>, v array<int>, low binary")
 
 
 def sets_of(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
@@ -193,31 +195,32 @@ def similar(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 
 def confirmed(tests: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links ``a``, ``b`` among rows of one ``task``: those of side 0 against those of side 1, on full sets.
+    """Links ``a``, ``b`` among rows of one ``task``: side 0 against side 1, side 2 among itself, on full sets.
 
-    ``tests`` has ``task``, ``side``, ``id``; the tasks are bounded blocks. Each is read in one piece after a sort,
-    side 0 first, and side 1 streams past it in groups.
+    ``tests`` has ``task``, ``side``, ``id`` and the class ``comp``; links inside a class are known and not repeated.
+    The tasks are bounded blocks. Each is read in one piece after a sort, side 0 first, and side 1 streams past it.
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(batches):
-        task, left, right = None, [], []
+        task, left, right, alone = None, [], [], False
         links: list[tuple[int, int]] = []
 
         def test():
             nonlocal right
-            if left and right:
-                for i, j in similar([s for _, s in left], [s for _, s in right]):
-                    if left[i][0] != right[j][0]:
-                        links.append((left[i][0], right[j][0]))
+            others = left if alone else right
+            if left and others:
+                for i, j in similar([s for *_, s in left], [s for *_, s in others]):
+                    if left[i][1] != others[j][1] and not (alone and i >= j):
+                        links.append((left[i][0], others[j][0]))
             right = []
 
         for batch in batches:
-            for at, side, doc, shingles in zip(batch.column("task").to_pylist(), batch.column("side").to_pylist(), batch.column("id").to_pylist(), batch.column("shingles")):
+            for at, side, doc, comp, shingles in zip(*(batch.column(c).to_pylist() for c in ("task", "side", "id", "comp")), batch.column("shingles")):
                 if at != task:
                     test()
-                    task, left = at, []
-                (right if side else left).append((doc, np.frombuffer(shingles.as_buffer(), np.uint64)))
+                    task, left, alone = at, [], side == 2
+                (right if side == 1 else left).append((doc, comp, np.frombuffer(shingles.as_buffer(), np.uint64)))
                 if len(right) >= BLOCK:
                     test()
             if links:
@@ -227,7 +230,7 @@ def confirmed(tests: DataFrame, sets: DataFrame) -> DataFrame:
         if links:
             yield batch_of({"a": [x for x, _ in links], "b": [y for _, y in links]}, schema)
 
-    rows = tests.join(sets, "id").select("task", "side", "id", "shingles")
+    rows = tests.join(sets, "id").select("task", "side", "id", "comp", "shingles")
     return rows.repartition("task").sortWithinPartitions("task", "side").mapInArrow(compare, "a bigint, b bigint")
 
 
@@ -253,96 +256,91 @@ def _diagonal_tests(shared: DataFrame) -> DataFrame:
     placed = pairs.join(counts, "center").withColumn("block", _block_of("id", _blocks(F.col("n"))))
     members = placed.select(F.concat_ws(":", "center", "block").alias("task"), F.lit(1).alias("side"), "id")
     centers = counts.select(F.explode(F.sequence(F.lit(0), _blocks(F.col("n")) - 1)).alias("block"), F.col("center").alias("id"))
-    return members.unionByName(centers.select(F.concat_ws(":", "id", "block").alias("task"), F.lit(0).alias("side"), "id"))
+    tests = members.unionByName(centers.select(F.concat_ws(":", "id", "block").alias("task"), F.lit(0).alias("side"), "id"))
+    return tests.withColumn("comp", F.col("id"))
 
 
-def _crossing(shared: DataFrame, reps: DataFrame, classes: DataFrame) -> DataFrame:
-    """``id``, ``own``, ``other``: documents that share a table with a document of another class.
+def _crossing_tests(shared: DataFrame, reps: DataFrame, classes: DataFrame) -> DataFrame:
+    """Tests of documents that share a table with a document of another class.
 
-    Buckets of the first bands that hold several classes are looked at again. Their largest class is one side, all
-    others the other; blocks of both are compared, and blocks of the others among themselves, never the largest
-    class with itself. Members of two blocks meet in a table if they also share a second band; they are a candidate
-    if they share SHARED bands in all and neither set is too small for the other. Each pair counts in its first bucket.
+    Buckets of the first bands that hold several classes are looked at again: small ones as they are. In the others
+    the largest class is one side, all other members are the other; blocks of both are compared, and blocks of the
+    others among themselves, never the largest class with itself. Members of two blocks meet in a table if they also
+    share a second band; they are a candidate if they share SHARED minhashes and neither set is too small for the
+    other. Each pair counts in its first bucket. Only members with a candidate go on to be compared on full sets.
     """
     classed = materialize(shared.join(classes, "id", "left").select("i", "uk", "id", F.coalesce("comp", "id").alias("comp")))
     per_class = classed.groupBy("i", "uk", "comp").agg(F.count(F.lit(1)).alias("c"))
     buckets = per_class.groupBy("i", "uk").agg(
         F.sum("c").alias("n"), F.count(F.lit(1)).alias("k"), F.max(F.struct("c", "comp")).alias("top")
-    ).where("k > 1").select("i", "uk", F.col("top.comp").alias("top"), _blocks(F.col("top.c")).alias("nm"), _blocks(F.col("n") - F.col("top.c")).alias("nr"))
+    ).where("k > 1").select("i", "uk", (F.col("n") <= BLOCK).alias("small"), F.col("top.comp").alias("top"), _blocks(F.col("top.c")).alias("nm"), _blocks(F.col("n") - F.col("top.c")).alias("nr"))
     placed = classed.join(buckets, ["i", "uk"]).withColumn("major", F.col("comp") == F.col("top"))
     placed = placed.withColumn("block", F.when(F.col("major"), _block_of("id", F.col("nm"))).otherwise(_block_of("id", F.col("nr"))))
-    # The bucket's minor blocks b: against major blocks m (task "m:b") and against minor blocks of the same or a higher number ("rest").
-    upto = lambda n: F.sequence(F.lit(0), n - 1)
-    task = lambda kind, a, b: F.struct(F.lit(kind).alias("kind"), a.cast("int").alias("a"), b.cast("int").alias("b"))
-    block = F.col("block")
-    as_major = F.transform(upto(F.col("nr")), lambda b: F.struct(task("m", b, block).alias("t"), F.lit(1).alias("side")))
-    minor_left = F.transform(upto(F.col("nm")), lambda m: F.struct(task("m", block, m).alias("t"), F.lit(0).alias("side")))
-    minor_low = F.transform(F.sequence(block, F.col("nr") - 1), lambda b: F.struct(task("r", block, b).alias("t"), F.lit(0).alias("side")))
-    minor_high = F.transform(F.sequence(F.lit(0), block), lambda b: F.struct(task("r", b, block).alias("t"), F.lit(1).alias("side")))
-    roles = F.when(F.col("major"), as_major).otherwise(F.concat(minor_left, minor_low, minor_high))
-    members = placed.select("i", "uk", "id", "comp", F.explode(roles).alias("role"))
-    members = members.select("i", "uk", F.col("role.t.kind").alias("kind"), F.col("role.t.a").alias("a"), F.col("role.t.b").alias("b"), F.col("role.side").alias("side"), "id", "comp")
-    rows = members.join(reps.select("id", "n", "u", "v"), "id")
-    keys = ["i", "uk", "kind", "a", "b"]
-    schema = pa.schema([("id", pa.int64()), ("own", pa.int64()), ("other", pa.int64())])
+    # Blocks of the others: against blocks of the largest class ("m"), against each other ("r"); side 2 is compared with itself.
+    task = lambda kind, a, b, side: F.struct(F.lit(kind).alias("kind"), a.cast("int").alias("a"), b.cast("int").alias("b"), F.lit(side).alias("side"))
+    block, zero = F.col("block"), F.lit(0)
+    numbers = lambda n: F.sequence(zero, F.col(n) - 1)
+    whole = F.array(task("s", zero, zero, 2))
+    as_major = F.transform(numbers("nr"), lambda b: task("m", b, block, 1))
+    against_major = F.transform(numbers("nm"), lambda m: task("m", block, m, 0))
+    against_rest = F.transform(numbers("nr"), lambda b: F.when(b == block, task("r", block, block, 2)).when(b > block, task("r", block, b, 0)).otherwise(task("r", b, block, 1)))
+    roles = F.when(F.col("small"), whole).when(F.col("major"), as_major).otherwise(F.concat(against_major, against_rest))
+    own = ["id", "i", "comp", "n", "u", "v", "low"]
+    members = placed.join(reps.select("id", "n", "u", "v", "low"), "id").select("uk", *own, F.explode(roles).alias("role"))
+    columns = ["task", "side", *own]
+    rows = members.select(F.concat_ws(":", "i", "uk", "role.kind", "role.a", "role.b").alias("task"), "role.side", *own)
+    schema = pa.schema([("task", pa.string()), ("side", pa.int32()), ("id", pa.int64()), ("comp", pa.int64())])
 
     def meet(batches):
-        task, left, right = None, [], []
-        found: set[tuple[int, int, int]] = set()
+        task, left, right, alone, kept = None, [], [], False, {}
+        found: list[tuple[str, int, int, int]] = []
 
         def side(rows):
-            ids, comps, sizes, u, v = zip(*rows)
-            return np.array(ids), np.array(comps), np.array(sizes), np.array(u), np.array(v)
+            ids, bucket, comps, sizes, u, v, low = zip(*rows)
+            return np.array(ids), bucket[0], np.array(comps), np.array(sizes), np.stack(u), np.stack(v), np.frombuffer(b"".join(low), np.uint8).reshape(len(low), -1)
 
         def test():
             nonlocal right
-            if left and right:
-                a, b = side(left), side(right)
-                same = a[3][:, None, :] == b[3][None, :, :]
-                second = (a[4][:, None, :] == b[4][None, :, :]).sum(axis=2)
-                good = (same.argmax(axis=2) == task[0]) & (second >= 1) & (same.sum(axis=2) + second >= SHARED)
-                good &= a[1][:, None] != b[1][None, :]
-                small, large = np.minimum(a[2][:, None], b[2]), np.maximum(a[2][:, None], b[2])
+            if left and (right or alone):
+                a = side(left)
+                b = a if alone else side(right)
+                same = a[4][:, None, :] == b[4][None, :, :]
+                good = (same.argmax(axis=2) == a[1]) & (a[2][:, None] != b[2][None, :])
+                good &= (a[5][:, None, :] == b[5][None, :, :]).any(axis=2)
+                good &= (a[6][:, None, :] == b[6][None, :, :]).sum(axis=2) >= SHARED
+                small, large = np.minimum(a[3][:, None], b[3]), np.maximum(a[3][:, None], b[3])
                 good &= 100 * small >= LEAST * large
-                for x, y in np.argwhere(good):
-                    found.add((int(a[0][x]), int(a[1][x]), int(b[1][y])))
-                    found.add((int(b[0][y]), int(b[1][y]), int(a[1][x])))
+                chosen = good.any(axis=1)
+                kept.update(zip(a[0][chosen].tolist(), a[2][chosen].tolist()))
+                if not alone:
+                    chosen = good.any(axis=0)
+                    found.extend((task, 1, i, c) for i, c in zip(b[0][chosen].tolist(), b[2][chosen].tolist()))
             right = []
 
+        def close():
+            test()
+            found.extend((task, 2 if alone else 0, i, c) for i, c in kept.items())
+            kept.clear()
+
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in (*keys, "side", "id", "comp", "n", "u", "v"))):
-                if row[:5] != task:
-                    test()
-                    task, left = row[:5], []
-                (right if row[5] else left).append(row[6:])
+            # Bands as one matrix each: lists of numbers would be many times as large.
+            bands = {c: batch.column(c).flatten().to_numpy().reshape(-1, BANDS) for c in ("u", "v")}
+            for at, number, *row in zip(*(bands[c] if c in bands else batch.column(c).to_pylist() for c in columns)):
+                if at != task:
+                    close()
+                    task, left, alone = at, [], number == 2
+                (right if number == 1 else left).append(row)
                 if len(right) >= BLOCK:
                     test()
             if len(found) >= 10_000:
                 yield batch_of(dict(zip(schema.names, map(list, zip(*found)))), schema)
                 found.clear()
-        test()
+        close()
         if found:
             yield batch_of(dict(zip(schema.names, map(list, zip(*found)))), schema)
 
-    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "side")
-    return dealt.select(*keys, "side", "id", "comp", "n", "u", "v").mapInArrow(meet, "id bigint, own bigint, other bigint").distinct()
-
-
-def _class_tests(crossing: DataFrame, reps: DataFrame, classes: DataFrame) -> DataFrame:
-    """Tests of each document against all members of a larger class it may belong to, in blocks of both sides."""
-    everyone = reps.join(classes, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
-    sizes = classes.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
-    size_of = lambda name, out: sizes.select(F.col("comp").alias(name), F.col("n").alias(out))
-    sized = crossing.join(size_of("own", "n_own"), "own", "left").join(size_of("other", "n_other"), "other", "left").fillna(1, ["n_own", "n_other"])
-    larger = (F.col("n_other") > F.col("n_own")) | ((F.col("n_other") == F.col("n_own")) & (F.col("other") < F.col("own")))
-    asked = materialize(sized.where(larger).select("id", F.col("other").alias("target"), F.col("n_other").alias("nt")))
-    per_target = asked.groupBy("target").agg(F.first("nt").alias("nt"), F.count(F.lit(1)).alias("nx"))
-    blocks = per_target.select("target", _blocks(F.col("nt")).alias("bt"), _blocks(F.col("nx")).alias("bx"))
-    upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    placed = asked.join(blocks, "target").select("target", "id", _block_of("id", F.col("bx")).alias("x"), upto(F.col("bt")).alias("t"))
-    members = everyone.join(blocks, everyone["comp"] == blocks["target"]).select("target", "id", upto(F.col("bx")).alias("x"), _block_of("id", F.col("bt")).alias("t"))
-    task = F.concat_ws(":", "target", "x", "t").alias("task")
-    return placed.select(task, F.lit(0).alias("side"), "id").unionByName(members.select(task, F.lit(1).alias("side"), "id"))
+    dealt = rows.repartition("task").sortWithinPartitions("task", "side")
+    return dealt.mapInArrow(meet, "task string, side int, id bigint, comp bigint")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -358,7 +356,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     linkable = signed.where("id IS NOT NULL AND n > 0")
     # Equal sets are one: what follows works on the smallest id of each. Combined before the shuffle.
     same = ["n", "s1", "s2"]
-    reps = materialize(linkable.groupBy(*same).agg(F.min("id").alias("id"), F.first("u").alias("u"), F.first("v").alias("v")))
+    reps = materialize(linkable.groupBy(*same).agg(F.min("id").alias("id"), F.first("u").alias("u"), F.first("v").alias("v"), F.first("low").alias("low")))
     bands = reps.select("id", F.posexplode(F.arrays_zip("u", "v")).alias("i", "k")).select("id", "i", F.col("k.u").alias("uk"), F.col("k.v").alias("vk"))
     buckets = bands.groupBy("i", "uk").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     shared = materialize(bands.join(buckets, ["i", "uk"]))
@@ -372,7 +370,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     links = materialize(confirmed(tests, sets).union(by_id))
     classes = components(links)
 
-    asked = materialize(_class_tests(_crossing(shared, reps, classes), reps, classes))
+    asked = materialize(_crossing_tests(shared, reps, classes))
     more_sets = sets_of(docs, key, text, asked.select("id").distinct())
     more = materialize(confirmed(asked, more_sets))
     label = classes.select("id", "comp")
