@@ -50,6 +50,13 @@ def test_filters_and_columns_reach_the_reader(spark):
     assert sorted(r["page_id"].as_py() for p in reader.partitions() for b in reader.read(p) for r in [{"page_id": x} for x in b.column("page_id")]) == [2, 3]
 
 
+def test_appends_keep_what_is_there(spark):
+    folder = new_folder(spark, "warc")
+    for page in (1, 2):
+        warc.write_warc(warc.with_revisits(pages(spark, [(page, "a", "x")])), folder)
+    assert sorted(r["page_id"] for r in warc.read_warc(spark, folder).collect()) == [1, 2]
+
+
 def test_unfinished_folders_are_refused(spark):
     with pytest.raises(Exception, match="no finished archives"):
         warc.read_warc(spark, new_folder(spark, "warc")).collect()

@@ -94,9 +94,20 @@ class Files(WriterCommitMessage):
     written: list[tuple[str, int]]
 
 
+def listed(folder: str) -> list[list] | None:
+    """Names and sizes of the files that finished jobs have written; None before the first."""
+    system, path = store(folder)
+    if system.get_file_info(f"{path}/{LIST}").type == fs.FileType.NotFound:
+        return None
+    with open_file(folder, LIST) as file:
+        return json.loads(file.read())
+
+
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, folder: str):
-        self.folder = folder
+    """Appends to what the folder's list names, or starts a new list."""
+
+    def __init__(self, folder: str, overwrite: bool):
+        self.folder, self.overwrite = folder, overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Files:
         written, out, size, name = [], None, 0, ""
@@ -118,8 +129,9 @@ class WarcWriter(DataSourceArrowWriter):
         return Files(written)
 
     def commit(self, messages: list[Files | None]) -> None:
+        before = [] if self.overwrite else listed(self.folder) or []
         with create(self.folder, LIST) as out:
-            out.write(json.dumps(sorted(f for m in messages if m for f in m.written)).encode())
+            out.write(json.dumps(before + sorted(f for m in messages if m for f in m.written)).encode())
 
     def abort(self, messages: list[Files | None]) -> None:
         system, path = store(self.folder)
@@ -155,13 +167,11 @@ class WarcReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[Archive]:
-        system, path = store(self.folder)
-        if system.get_file_info(f"{path}/{LIST}").type == fs.FileType.NotFound:
+        found = listed(self.folder)
+        if found is None:
             raise ValueError(f"{self.folder} holds no finished archives")
-        with open_file(self.folder, LIST) as file:
-            listed = json.loads(file.read())
         groups, size = [], FILE_BYTES
-        for name, n in listed:
+        for name, n in found:
             if size + n > FILE_BYTES:
                 groups.append([])
                 size = 0
@@ -213,7 +223,7 @@ class Warc(DataSource):
     def writer(self, schema, overwrite: bool) -> WarcWriter:
         if schema.fieldNames() != SMALL.names:
             raise ValueError(f"columns must be {SMALL.names}")
-        return WarcWriter(self.options["path"])
+        return WarcWriter(self.options["path"], overwrite)
 
 
 def register(spark: SparkSession) -> None:
