@@ -108,6 +108,31 @@ def test_templates(spark):
     assert decontam.without_leaks(table, bench(spark, [])).count() == len(docs)
 
 
+MARBLES = (
+    "A bag on the shelf of the old shop holds 3 red marbles and 3 blue marbles while a second bag beside it holds only green "
+    "ones so how many marbles must a child draw without looking to be sure"
+)
+WALK = (
+    "Two friends walk along the river for 2 hours before lunch and for 3 hours after it while their dog runs ahead and comes "
+    "back again so how long did the whole walk take them"
+)
+
+
+def test_templates_with_one_value_in_two_roles(spark):
+    """Windows whose slots contradict do not count, the others of the run do."""
+    rng = random.Random(11)
+    asked = [
+        (1, MARBLES.replace("3 red", "4 red").replace("3 blue", "5 blue")), (2, WALK.replace("2 hours", "1 hour")),
+        (3, MARBLES.replace("3 red", "7 red")), (4, WALK.replace("2 hours", "40 minutes").replace("3 hours", "2 days")),
+    ]
+    docs = [(i, f"{prose(rng, 20)} {t} {prose(rng, 20)}") for i, t in asked] + [(5, prose(rng, 80))]
+    got = decontam.leaks(documents(spark, docs), bench(spark, [(1, MARBLES), (2, WALK)])).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(1, 1), (2, 2), (3, 1), (4, 2)]
+    assert all(r["shared"] <= r["windows"] for r in got)
+    # The contradicting windows are no evidence.
+    assert {r["doc_id"]: r["shared"] < r["windows"] for r in got}[1]
+
+
 def test_large_benchmarks_are_shuffled(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
     assert [r["doc_id"] for r in decontam.leaks(documents(spark, [(1, QUESTION)]), bench(spark, [(1, QUESTION)])).collect()] == [1]

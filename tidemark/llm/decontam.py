@@ -2,7 +2,7 @@
 
 Numbers, names and units become typed placeholders, so a question asked anew with other values keeps its template.
 Windows of five template words are hashed; a document's windows meet a benchmark's by hash. What the placeholders
-stood for is compared along each run of windows: one value of the benchmark must always have become the same value.
+stood for is compared along each run of windows: a window counts if its values became what they became in most windows.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ BROADCAST_WINDOWS = 1_000_000
 # A capital word behind a small letter, digit, comma or semicolon is a name; a unit follows a number.
 NAME = r"(?<=[\p{Ll}\p{Nd},;]\x20)(?=\p{Lu}\p{Ll})"
 MARK = "\ue000"
+UNIT = "#u"
 TOKEN = r"\x{E000}?[\p{L}\p{M}]+|[0-9]+(?:[.,][0-9]+)*|[$€£¥%°]"
 UNITS = (
     "mm cm m km in ft yd mi mg g kg t oz lb lbs ml cl l gal s sec secs min mins h hr hrs ms day days week weeks month months year years "
@@ -29,13 +30,13 @@ UNITS = (
 def _templates(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     """``keys`` and ``windows``: an array of (hash, literal words, values behind placeholders) for every window of the text.
 
-    ``value`` holds a word's original where the template has a placeholder, else null.
+    A value is the word's original; behind a unit it is always ``UNIT``, since hour and hours are one unit.
     """
     named = rows.select(*keys, F.regexp_extract_all(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), NAME, MARK), F.lit(TOKEN), 0).alias("_raw"))
     number = lambda t: F.substring(t, 1, 1).between("0", "9")
     unit = lambda t, i: F.lower(t).isin(*UNITS) & F.coalesce(number(F.get(F.col("_raw"), i - 1)), F.lit(False))
     kind = lambda t, i: (
-        F.when(number(t), F.lit("#n")).when(t.startswith(MARK), F.lit("#p")).when(t.isin("$", "€", "£", "¥", "%", "°") | unit(t, i), F.lit("#u"))
+        F.when(number(t), F.lit("#n")).when(t.startswith(MARK), F.lit("#p")).when(t.isin("$", "€", "£", "¥", "%", "°") | unit(t, i), F.lit(UNIT))
     )
     # Texts without numbers, names and signs have no placeholder: the usual case is one lower().
     plain = ~F.exists("_raw", lambda t: t.rlike(r"^[0-9$€£¥%°\x{E000}]"))
@@ -45,7 +46,7 @@ def _templates(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     part = lambda i: F.slice(F.col("_word"), i + 1, WINDOW)
     slot = lambda w: w.startswith("#")
     values = lambda i: F.transform(
-        F.filter(F.arrays_zip(part(i).alias("w"), F.slice(F.col("_raw"), i + 1, WINDOW).alias("r")), lambda x: slot(x["w"])), lambda x: F.lower(x["r"])
+        F.filter(F.arrays_zip(part(i).alias("w"), F.slice(F.col("_raw"), i + 1, WINDOW).alias("r")), lambda x: slot(x["w"])), lambda x: F.when(x["w"] == UNIT, x["w"]).otherwise(F.lower(x["r"]))
     )
     key = lambda i: F.xxhash64(*[F.get(F.col("_hash"), i + k) for k in range(WINDOW)])
     no_values = F.lit(None).cast("array<string>")
@@ -64,8 +65,9 @@ def _exploded(templates: DataFrame, keys: list[str]) -> DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id``, ``item_id``, ``shared`` and ``windows`` of every document that holds a benchmark item, wholly or in part.
 
-    ``shared`` of the item's ``windows`` distinct windows are found in the document, at least 40 % of them, on runs
-    where every value of the item has become one value of the document. Windows with fewer than three words that are
+    ``shared`` of the item's ``windows`` distinct windows are found in the document, at least 40 % of them, in runs
+    of windows. In a run, windows do not count whose values became something else than in most windows with that value;
+    if no outcome has more than half of them, none of them counts. Units may change freely. Windows with fewer than three words that are
     no placeholders are no evidence. Items and documents of fewer than five words, empty or null, match nothing. Rows of
     one ``doc_id`` count as one document, rows of one ``item_id`` as one item; rows without ``doc_id`` are told apart by
     their text, items without id are ignored. Other columns are not read. Either table may be empty.
@@ -89,14 +91,18 @@ def _leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     named = docs.select(docs["doc_id"], _text_key(docs["doc_id"], docs["text"]).alias("_text_key"), docs["text"].alias("_text"))
     met = _exploded(_templates(named, keys, "_text"), keys).join(side, "hash").withColumn("run", F.col("at") - F.col("item_at"))
     runs = [*keys, "item_id", "run"]
+    slots = F.arrays_zip(F.col("asked").alias("asked"), F.col("values").alias("given"))
     found = met.groupBy(*runs).agg(
-        F.collect_set("hash").alias("hashes"),
-        F.flatten(F.collect_set(F.arrays_zip(F.col("asked").alias("asked"), F.col("values").alias("given")))).alias("slots"),
+        F.collect_set(F.struct("hash", F.coalesce(slots, F.array()).alias("slots"))).alias("met"), F.flatten(F.collect_list(slots)).alias("slots")
     )
-    # One value asked must always be one value given.
+    # One value asked should always be one value given. Where it is not, what most windows say holds.
     pairs = F.array_distinct("slots")
     consistent = F.size(pairs) == F.size(F.array_distinct(F.transform(pairs, lambda s: s["asked"])))
-    good = found.where(consistent).select(*keys, "item_id", F.explode("hashes").alias("hash"))
+    support = lambda same: F.size(F.filter("slots", same))
+    held = F.filter(pairs, lambda s: 2 * support(lambda t: t == s) > support(lambda t: t["asked"] == s["asked"]))
+    judged = found.select(*keys, "item_id", "met", F.when(~consistent, held).alias("held"))
+    counted = F.when(F.col("held").isNull(), F.col("met")).otherwise(F.filter("met", lambda w: F.forall(w["slots"], lambda s: F.array_contains("held", s))))
+    good = judged.select(*keys, "item_id", F.explode(counted["hash"]).alias("hash"))
     shared = good.groupBy(*keys, "item_id").agg(F.countDistinct("hash").alias("shared"))
     # One row per item.
     return shared.join(totals, "item_id").where(F.col("shared") >= SHARE * F.col("windows")).select(*keys, "item_id", "shared", "windows")
