@@ -133,6 +133,27 @@ def test_templates_with_one_value_in_two_roles(spark):
     assert {r["doc_id"]: r["shared"] < r["windows"] for r in got}[1]
 
 
+LONG = prose(random.Random(21), 400)
+TITLE = (
+    "The Old Keeper Of The Northern Light Walks Down To The Harbour Every Morning And Counts The Boats That Came In During "
+    "The Night So Which Boat Is The One He Never Sees Again"
+)
+SUM = "Compute 12 + 7 * 3 - 4"
+
+
+def test_excerpts_and_items_without_evidence(spark):
+    """A long piece of a long item is a leak; an item without evidence windows must be there word by word."""
+    rng = random.Random(12)
+    words = LONG.split(" ")
+    parts = [(1, " ".join(words[100:250])), (2, " ".join(words[100:109])), (3, TITLE), (4, TITLE.lower()), (5, SUM), (6, SUM.replace("7", "8")),
+             (7, TITLE.replace("Harbour", "Market"))]
+    docs = [(i, f"{prose(rng, 20)} {t} {prose(rng, 20)} 5 km") for i, t in parts] + [(8, prose(rng, 300)), (9, "Compute 12"), (10, SUM)]
+    items = [(1, LONG), (2, TITLE), (3, SUM), (3, SUM.replace("12", "13"))]
+    got = decontam.leaks(documents(spark, docs), bench(spark, items)).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(1, 1), (3, 2), (4, 2), (5, 3), (10, 3)]
+    assert all(0 < r["shared"] <= r["windows"] for r in got)
+
+
 def test_large_benchmarks_are_shuffled(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
     assert [r["doc_id"] for r in decontam.leaks(documents(spark, [(1, QUESTION)]), bench(spark, [(1, QUESTION)])).collect()] == [1]
