@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, mixing, neardup, pii, secret_scan, tokens, topk, toxicity, warc
+from tidemark.llm import chat, codes, decontam, merkle, mixing, neardup, pii, quality, secret_scan, tokens, topk, toxicity, warc
 from tidemark.llm.common import hex_digest, joined_spans, table
 from tidemark.session import materialize
 
@@ -78,7 +78,22 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_conversations(pieces, "conv_id")
 
 
-QUERIES = {q.__name__: q for q in (op1_warc, op2_toxicity, op3_pii, op4_token_files, op5_near_duplicates, op6_secrets, op7_decontamination, op8_mixing, op9_top_products, op10_chat)}
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof, and what proofs say of documents that lost their line feeds."""
+    return merkle.verified_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code and what it loses."""
+    return codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a discriminant that saw no held-out label."""
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {q.__name__: q for q in (op1_warc, op2_toxicity, op3_pii, op4_token_files, op5_near_duplicates, op6_secrets, op7_decontamination, op8_mixing, op9_top_products, op10_chat, op11_manifest, op12_vector_codes, op13_quality)}
 #: DuckDB's way to count words and to lower A-Z alone.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _ASCII = f"translate({{}}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -155,7 +170,61 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   sum(length('{chat.BEGIN}' || replace({_escaped("role")}, chr(10), '\\n') || chr(10) || {_escaped("text")} || '{chat.END}' || chr(10)))::BIGINT AS formatted_chars
 FROM c GROUP BY conv_id"""
 
+#: crc32 of an id as text, byte by byte, before its last inversion; then whether it is even after it.
+_CRC = """list_reduce(flatten(list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: [ascii(substr(doc_id::VARCHAR, i, 1)), 0, 0, 0, 0, 0, 0, 0]))::BIGINT[],
+    lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295::BIGINT)"""
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+    return "sha256(" + " || ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE octet_length(encode({f}))::VARCHAR || ':' || {f} END" for f in fields) + ")"
+
+
+_STEP = "array_to_string({r}.hs[1:{pos} % 3], '') || '|' || array_to_string({r}.hs[{pos} % 3 + 2:], '')"
+_FOLD = "list_reduce({steps}, lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2)), {leaf})"
+_MANIFEST = f"""
+WITH RECURSIVE leaves AS (SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+    CASE WHEN (xor({_CRC}, 4294967295) & 1) = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} END AS now FROM documents),
+trees AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) AS n FROM leaves GROUP BY source),
+placed AS (SELECT leaves.*, tree, n, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM leaves JOIN trees ON leaves.source IS NOT DISTINCT FROM trees.source),
+level(tree, l, pos, h, n) AS (SELECT tree, 0, pos, leaf, n FROM placed
+  UNION ALL SELECT tree, l + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3 FROM level WHERE n > 1 GROUP BY tree, l, pos // 3, n),
+subroots AS (SELECT tree, h FROM level WHERE n = 1),
+above(l, pos, h, n) AS (SELECT 0, tree, h, (SELECT count(*) FROM subroots) FROM subroots
+  UNION ALL SELECT l + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3 FROM above WHERE n > 1 GROUP BY l, pos // 3, n),
+run AS (SELECT tree, l, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM level WHERE n > 1 GROUP BY ALL),
+top_run AS (SELECT l, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM above WHERE n > 1 GROUP BY ALL),
+steps AS (SELECT p.tree, p.pos, list({_STEP.format(r="r", pos="(p.pos // (3 ** r.l)::BIGINT)")} ORDER BY r.l) AS steps
+  FROM placed p JOIN run r ON r.tree = p.tree AND r.run = p.pos // (3 ** (r.l + 1))::BIGINT GROUP BY p.tree, p.pos),
+top_steps AS (SELECT s.tree, list({_STEP.format(r="r", pos="(s.tree // (3 ** r.l)::BIGINT)")} ORDER BY r.l) AS steps
+  FROM subroots s JOIN top_run r ON r.run = s.tree // (3 ** (r.l + 1))::BIGINT GROUP BY s.tree),
+whole AS (SELECT doc_id, leaf, now, s.h AS subroot, (SELECT h FROM above WHERE n = 1) AS root,
+    list_concat(coalesce(steps.steps, []), coalesce(top_steps.steps, [])) AS steps
+  FROM placed p JOIN subroots s USING (tree) LEFT JOIN steps ON steps.tree = p.tree AND steps.pos = p.pos LEFT JOIN top_steps ON top_steps.tree = p.tree),
+found AS (SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '|', '')) AS proof_sha256, {_FOLD.format(steps="steps", leaf="coalesce(now, leaf)")} AS folded_root FROM whole)
+SELECT *, folded_root = root AS verified FROM found"""
+
+_ROUND_OF_CODES = """
+near{n} AS MATERIALIZED (SELECT r, p.p, arg_min(e, (list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, c.x) + list_inner_product(c.x, c.x), e)) AS e
+  FROM parts p JOIN book{n} c ON p.p = c.p GROUP BY r, p.p),
+book{m} AS MATERIALIZED (SELECT c.p, c.e, coalesce(m.x, c.x) AS x FROM book{n} c LEFT JOIN (
+    SELECT p, e, list(floor(s / n) ORDER BY i) AS x FROM (SELECT n.p, n.e, i, sum(p.x[i]) AS s, count(*) AS n
+      FROM near{n} n JOIN parts p ON p.r = n.r AND p.p = n.p, range(1, len(p.x) + 1) t(i) GROUP BY n.p, n.e, i) GROUP BY p, e) m ON m.p = c.p AND m.e = c.e),"""
+_CODES = f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT r, p, v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] AS x FROM kept, range(4) t(p)),
+book0 AS MATERIALIZED (SELECT p, e, x FROM (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < {codes.ENTRIES}) JOIN parts USING (r)),
+{"".join(_ROUND_OF_CODES.format(n=n, m=n + 1) for n in range(codes.ROUNDS))}
+last AS (SELECT r, p.p, min((list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, c.x) + list_inner_product(c.x, c.x), e)) AS best
+  FROM parts p JOIN book{codes.ROUNDS} c ON p.p = c.p GROUP BY r, p.p),
+coded AS (SELECT vec_id, label, string_agg(lower(lpad(to_hex(best[2]), 2, '0')), '' ORDER BY p) AS code, sum(best[1])::BIGINT AS error FROM last JOIN kept USING (r) GROUP BY r, vec_id, label)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+  (SELECT sha256(string_agg(y::BIGINT::VARCHAR, ',' ORDER BY p, e, i)) FROM book{codes.ROUNDS} c, unnest(c.x) WITH ORDINALITY t(y, i)) AS codebooks_sha256 FROM coded"""
+
 #: The others need a classifier, a tokenizer, entropy, or patterns that look back: brute-force tests stand in.
 ORACLE: dict[str, str] = {
     "op1_warc": _PAGES, "op5_near_duplicates": _NEAR, "op8_mixing": _MIX, "op9_top_products": _TOP, "op10_chat": _CHAT,
+    "op11_manifest": _MANIFEST, "op12_vector_codes": _CODES,
 }
