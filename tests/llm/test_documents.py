@@ -213,6 +213,22 @@ def test_mixing(spark):
     assert mixing.mix_sources(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("ordered", [50_000, 10])
+def test_a_target_is_met_beside_a_long_document(spark, monkeypatch, ordered):
+    """Three copies of the short documents fill what the long one leaves open; ids may repeat."""
+    monkeypatch.setattr(mixing, "ORDERED", ordered)
+    rng = random.Random(3)
+    texts = [(i, "a " * 100) for i in range(200)] + [(200, "b " * 100_000)] + [(1000 + i, "c " * rng.randint(1, 400)) for i in range(60)]
+    texts += [(2000 + i // 3, "d " * rng.randint(0, 90)) for i in range(90)] + [(3000, "e " * 50_000)]
+    sources = ["s"] * 201 + ["t"] * 60 + ["u"] * 90 + ["v"]
+    rows = mixing.sources_mixed(documents(spark, texts, sources)).collect()
+    for r in rows:
+        missing = int(r["target"]) - r["taken"]
+        assert missing >= 0 and r["most"] <= 3 and (r["source"] == "u" or r["room"] is None or r["room"] > missing)
+    of = {r["source"]: r for r in rows}
+    assert of["s"]["taken"] in (60_000, int(of["s"]["target"]) // 100 * 100) and int(of["u"]["target"]) - of["u"]["taken"] < 270
+
+
 def test_overlapping_sources(spark):
     from pyspark.sql import functions as F
 

@@ -14,8 +14,12 @@ from tidemark.session import materialize
 MAX_PATTERNS = 200_000
 SEED = "mix-1"
 HASH_BITS, STEP_BITS = 60, 12
-#: How often the words still missing are filled up with smaller documents.
-FILL = 4
+#: Documents of at most this part of the missing words go first: what the next one leaves open is then smaller still.
+PART = 8
+#: Documents of one set of sources that a single window may order; beyond it, sums over ranges of the hash come first.
+ORDERED = 50_000
+#: Repeated ids that are broadcast; more of them are shuffled.
+SMALL = 200_000
 
 
 def weighted_targets(sizes: dict, most: int = 3, weights: tuple[int, ...] = (1, 2, 3)) -> dict:
@@ -87,6 +91,14 @@ def route(capacity: dict, members: dict, quota: dict, most: int) -> dict:
     return given
 
 
+def _ordered(rows: DataFrame, rest: dict[int, int]) -> dict[int, tuple[int, int]]:
+    """What ``_prefix`` finds, by one window a pattern."""
+    known = rows.sparkSession.createDataFrame(list(rest.items()), "_pattern bigint, _rest bigint")
+    upto = F.sum("_size").over(Window.partitionBy("_pattern").orderBy("_hash"))
+    taken = rows.join(F.broadcast(known), "_pattern").withColumn("_upto", upto).where("_upto <= _rest")
+    return {r["_pattern"]: (r["last"], r["words"]) for r in taken.groupBy("_pattern").agg(F.max("_hash").alias("last"), F.max("_upto").alias("words")).collect()}
+
+
 def _prefix(rows: DataFrame, rest: dict[int, int]) -> dict[int, tuple[int, int]]:
     """Per pattern the last hash and the words of the longest run of ``rows``, in order of hash, within ``rest`` words.
 
@@ -125,24 +137,50 @@ def _prefix(rows: DataFrame, rest: dict[int, int]) -> dict[int, tuple[int, int]]
     return found | {p: last.get(p, ((at << shift) - 1, before)) for p, (at, before) in state.items()}
 
 
-def _picks(rows: DataFrame, rest: dict[int, int]) -> dict[int, list[tuple[int, int, int]]]:
-    """Ranges of the hash (after, up to) and a largest size: the documents taken for ``rest`` words of each pattern.
+PICKS = "array<struct<level:int,upto:bigint,cap:bigint>>"
+
+
+def _copies(unit: Column, number: Column, full: Column, picks: Column) -> Column:
+    """Copies of a document: the full ones, and one more for each pick that meets it with ``level`` copies so far."""
+    return F.aggregate(picks, full, lambda n, p: n + ((n == p["level"]) & (unit <= p["cap"]) & (number <= p["upto"])).cast("int"))
+
 
-    The first range ends before the document that would not fit. The next goes on behind it with documents no larger
-    than what is left, and so on, FILL times.
+def _picks(units: DataFrame, rest: dict[int, int], full: dict[int, int], most: int) -> dict[int, list[tuple[int, int, int]]]:
+    """The picks that give ``rest`` more words of each pattern: (level, last hash, largest size).
+
+    A pick takes one more copy of the documents that have ``level`` copies and no more words than its cap, in order of
+    hash, until one does not fit. While there are documents of an eighth of the missing words or less, these are the ones,
+    so few rounds are left. Where no document of a level fits any more, the next copy of all begins; it ends when no
+    document with fewer than ``most`` copies fits.
     """
+    spark = units.sparkSession
     picks: dict[int, list[tuple[int, int, int]]] = {p: [] for p in rest}
-    left, after = {p: r for p, r in rest.items() if r > 0}, dict.fromkeys(rest, -1)
-    for _ in range(FILL):
+    left = {p: r for p, r in rest.items() if r > 0 and full[p] < most}
+    while left:
+        known = spark.createDataFrame([(p, full[p], picks[p]) for p in left], f"_pattern bigint, _full int, _picks {PICKS}")
+        state = units.join(F.broadcast(known), "_pattern").select("_pattern", "_hash", "_size", _copies(F.col("_size"), F.col("_hash"), F.col("_full"), F.col("_picks")).alias("_level"))
+        least: dict[int, dict[int, int]] = {}
+        numbers = {}
+        for r in state.where(F.col("_level") < most).groupBy("_pattern", "_level").agg(F.min("_size").alias("least"), F.count(F.lit(1)).alias("n")).collect():
+            least.setdefault(r["_pattern"], {})[r["_level"]] = r["least"]
+            numbers[r["_pattern"], r["_level"]] = r["n"]
+        caps = {}
+        for p, words in list(left.items()):
+            level = min((n for n, size in least.get(p, {}).items() if size <= words), default=None)
+            if level is None:
+                del left[p]
+            else:
+                caps[p] = (level, words // PART if least[p][level] <= words // PART else words)
         if not left:
             break
-        bounds = rows.sparkSession.createDataFrame([(p, after[p], r) for p, r in left.items()], "_pattern bigint, _after bigint, _cap bigint")
-        fitting = rows.join(F.broadcast(bounds), "_pattern").where((F.col("_hash") > F.col("_after")) & F.col("_size").between(1, F.col("_cap")))
-        found = _prefix(fitting.select("_pattern", "_hash", "_size"), left)
+        bounds = spark.createDataFrame([(p, *c) for p, c in caps.items()], "_pattern bigint, _at int, _cap bigint")
+        fitting = state.join(F.broadcast(bounds), "_pattern").where((F.col("_level") == F.col("_at")) & (F.col("_size") <= F.col("_cap")))
+        small = max(numbers[p, level] for p, (level, _) in caps.items()) <= ORDERED
+        found = (_ordered if small else _prefix)(fitting.select("_pattern", "_hash", "_size"), left)
         for p, (last, words) in found.items():
-            picks[p].append((after[p], last, left[p]))
-            after[p], left[p] = last, left[p] - words
-        left = {p: r for p, r in left.items() if p in found and r > 0 and after[p] < 1 << HASH_BITS}
+            picks[p].append((caps[p][0], last, caps[p][1]))
+            left[p] -= words
+        left = {p: r for p, r in left.items() if r > 0}
     return picks
 
 
@@ -152,8 +190,9 @@ def mix(docs: DataFrame, sources: Column, most: int = 3, seed: str = SEED) -> Da
     ``sources`` is an array: the sources a document belongs to; a null inside stands for the unnamed source,
     which comes last. Documents are counted by the set of their sources; a flow decides how many words each set
     gives; copies are whole documents, at most ``most`` of each, picked by a seeded hash of the id (of the text,
-    where the id is null), so reruns agree and rows of one id share their fate. A document without words or
-    without sources has 0 copies. ``target`` is the sum of its sources' targets.
+    where the id is null), so reruns agree and rows of one id share their fate. What a set of sources still lacks is
+    less than the words of any document that could be taken once more. A document without words or without sources has
+    0 copies, an empty table gives none. ``target`` is the sum of its sources' targets.
     """
     spark = docs.sparkSession
     row = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
@@ -161,8 +200,10 @@ def mix(docs: DataFrame, sources: Column, most: int = 3, seed: str = SEED) -> Da
     key = F.coalesce(docs["doc_id"].cast("string"), F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary")))
     number = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key).cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
     named = F.array_sort(F.array_distinct(F.transform(sources, lambda s: F.struct(s.isNull().alias("none"), s.alias("name")))))
-    counted = docs.select(size.alias("_size"), number.alias("_hash"), named.alias("_members"))
-    counted = materialize(counted)
+    counted = materialize(docs.select(size.alias("_size"), number.alias("_hash"), named.alias("_members")))
+    # Rows of one id are one unit; where ids repeat, its words are those of all of them.
+    units = materialize(counted.where("_size > 0").groupBy("_members", "_hash").agg(F.sum("_size").alias("_unit"), F.count(F.lit(1)).alias("_rows")))
+    repeated = units.where("_rows > 1").select(F.col("_members").alias("_of"), F.col("_hash").alias("_same"), "_unit")
     sums = counted.groupBy("_members").agg(F.sum("_size").alias("words")).limit(MAX_PATTERNS + 1).collect()
     if len(sums) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} sets of sources")
@@ -181,15 +222,19 @@ def mix(docs: DataFrame, sources: Column, most: int = 3, seed: str = SEED) -> Da
     # One row per set of sources, at most MAX_PATTERNS.
     patterns = spark.createDataFrame(plain, kinds)
     same = lambda a, b: a["_members"].eqNullSafe(b["_members"])
-    small = counted.join(F.broadcast(patterns), same(counted, patterns)).select("_pattern", "_hash", "_size")
-    picks = _picks(small, {i: given[i] - full[i] * words[i] for i in words})
-    ranges = "_pattern bigint, _picks array<struct<after:bigint,upto:bigint,most:bigint>>"
-    chosen = spark.createDataFrame([(i, picks[i]) for i in words], ranges)
+    small = units.join(F.broadcast(patterns), same(units, patterns)).select("_pattern", "_hash", F.col("_unit").alias("_size"))
+    picks = _picks(small, {i: given[i] - full[i] * words[i] for i in words}, full, most)
+    chosen = spark.createDataFrame([(i, picks[i]) for i in words], f"_pattern bigint, _picks {PICKS}")
     plan = patterns.join(F.broadcast(chosen), "_pattern")
     rows = docs.select(row.alias("row"), size.alias("size"), number.alias("_hash"), named.alias("_members"))
-    once_more = F.exists("_picks", lambda p: (F.col("_hash") > p["after"]) & (F.col("_hash") <= p["upto"]) & (F.col("size") <= p["most"]))
-    copies = F.when(F.col("size") > 0, F.col("_full") + once_more.cast("int")).otherwise(0)
-    return rows.join(F.broadcast(plan), same(rows, plan)).select("row", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), copies.alias("copies"))
+    rows = rows.join(F.broadcast(plan), same(rows, plan)).select("row", "size", "_hash", plan["_members"].alias("_members"), "_full", "_picks", "_source_size", "_target")
+    found = repeated.count()
+    if found:
+        repeated = F.broadcast(repeated) if found <= SMALL else repeated
+        rows = rows.join(repeated, (rows["_hash"] == repeated["_same"]) & rows["_members"].eqNullSafe(repeated["_of"]), "left")
+    unit = F.coalesce("_unit", "size") if found else F.col("size")
+    copies = F.when(F.col("size") > 0, _copies(unit, F.col("_hash"), F.col("_full"), F.col("_picks"))).otherwise(0)
+    return rows.select("row", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), copies.alias("copies"))
 
 
 def _overlapping(sizes: dict, words: dict, members: dict, most: int) -> dict:
@@ -207,6 +252,17 @@ def mix_sources(docs: DataFrame) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def sources_mixed(docs: DataFrame) -> DataFrame:
+    """Per source: its ``source_size``, ``target``, ``taken`` words, and ``room``, the words of the smallest document
+    that could be taken once more."""
+    mixed = mix(docs, F.array(docs["source"])).select("row.source", "size", "source_size", "target", "copies")
+    open_size = F.when((F.col("copies") < 3) & (F.col("size") > 0), F.col("size"))
+    return mixed.groupBy("source").agg(
+        F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.sum(F.col("size") * F.col("copies")).alias("taken"),
+        F.min(open_size).alias("room"), F.max("copies").alias("most"),
+    )
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it has copies, with its own columns only."""
     mixed = mix(docs, F.array(docs["source"])).where("copies > 0")

@@ -63,6 +63,16 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def mixing_nearness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source, whether the mix keeps to its target and to three copies, and no document is left that would still fit."""
+    found = mixing.sources_mixed(table(spark, sf_dir, "documents"))
+    missing = F.floor("target") - F.col("taken")
+    return found.select(
+        "source", "source_size", "target", (missing >= 0).alias("within_target"), (F.col("room").isNull() | (F.col("room") > missing)).alias("nothing_fits"),
+        (F.col("most") <= 3).alias("at_most_three"),
+    )
+
+
 def op9_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best other vectors of every 50th."""
     return topk.top_inner_products(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
@@ -93,7 +103,7 @@ def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {q.__name__: q for q in (op1_warc, op2_toxicity, op3_pii, op4_token_files, op5_near_duplicates, op6_secrets, op7_decontamination, op8_mixing, op9_top_products, op10_chat, op11_manifest, op12_vector_codes, op13_quality)}
+QUERIES = {q.__name__: q for q in (op1_warc, op2_toxicity, op3_pii, op4_token_files, op5_near_duplicates, op6_secrets, op7_decontamination, op8_mixing, mixing_nearness, op9_top_products, op10_chat, op11_manifest, op12_vector_codes, op13_quality)}
 #: DuckDB's way to count words and to lower A-Z alone.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _ASCII = f"translate({{}}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -122,14 +132,8 @@ label AS (SELECT a AS rep, min(b) AS comp FROM reach GROUP BY a)
 SELECT doc_id, len(sets.s)::BIGINT AS n_shingles, coalesce(comp, doc_id) AS component_id, doc_id = coalesce(comp, doc_id) AS kept
 FROM sets LEFT JOIN same ON list_sort(sets.s) = same.s LEFT JOIN label ON label.rep = same.rep"""
 
-_ROUND = """
-fit{n} AS (SELECT d.source, h, d.size, sum(d.size) OVER (PARTITION BY d.source ORDER BY h) AS upto, missing FROM d JOIN left{p} l ON d.source IS NOT DISTINCT FROM l.source
-  WHERE h > after AND d.size BETWEEN 1 AND missing),
-pick{n} AS (SELECT source, h, size FROM fit{n} WHERE upto <= missing),
-left{n} AS (SELECT l.source, missing - coalesce(sum(size), 0) AS missing, coalesce(max(h), any_value(after)) AS after FROM left{p} l LEFT JOIN pick{n} p ON l.source IS NOT DISTINCT FROM p.source GROUP BY l.source, missing),"""
-
-_MIX = f"""
-WITH d AS (SELECT doc_id, source, len({_WORDS}) AS size,
+_GOAL = f"""
+d AS (SELECT row_number() OVER () AS r, doc_id, source, len({_WORDS}) AS size,
     ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 15))::BIGINT AS h FROM documents),
 named AS (SELECT source, sum(size)::BIGINT AS size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source),
 ordered AS (SELECT *, sum(size) OVER () - coalesce(sum(3 * size) OVER o, 0) AS words, sum(weight) OVER () - coalesce(sum(weight) OVER o, 0) AS shares
@@ -137,15 +141,29 @@ ordered AS (SELECT *, sum(size) OVER () - coalesce(sum(3 * size) OVER o, 0) AS w
 filled AS (SELECT *, 3 * size * shares <= words * weight AS is_full FROM ordered),
 rest AS (SELECT arg_min(words, 3 * size / weight) AS words, arg_min(shares, 3 * size / weight) AS shares FROM filled WHERE NOT is_full),
 goal AS (SELECT source, size, CASE WHEN is_full THEN 3.0 * size ELSE (weight * rest.words)::DOUBLE / rest.shares::DOUBLE END::DOUBLE AS target FROM filled, rest
-  UNION ALL SELECT source, size, 3.0 * size FROM filled WHERE (SELECT words FROM rest) IS NULL AND (SELECT count(*) FROM filled WHERE NOT is_full) > 0),
+  UNION ALL SELECT source, size, 3.0 * size FROM filled WHERE (SELECT words FROM rest) IS NULL AND (SELECT count(*) FROM filled WHERE NOT is_full) > 0)"""
+
+#: One more copy at a time, in rounds, until no document with fewer than three fits.
+_MIX = f"""
+WITH RECURSIVE {_GOAL},
 plan AS (SELECT source, size, target, CASE WHEN size > 0 THEN least(3, floor(target)::BIGINT // size) ELSE 0 END AS copies FROM goal),
-left0 AS (SELECT source, floor(target)::BIGINT - copies * size AS missing, -1::BIGINT AS after FROM plan),
-{"".join(_ROUND.format(n=n, p=n - 1) for n in range(1, mixing.FILL + 1))}
-more AS ({" UNION ALL ".join(f"SELECT source, h, size FROM pick{n}" for n in range(1, mixing.FILL + 1))}),
-once AS (SELECT DISTINCT source, h, size FROM more)
-SELECT doc_id, d.size::BIGINT AS size, plan.size AS source_size, target, (d.size * (copies + (once.h IS NOT NULL)::INT))::BIGINT AS taken
-FROM d JOIN plan ON d.source IS NOT DISTINCT FROM plan.source
-LEFT JOIN once ON d.source IS NOT DISTINCT FROM once.source AND d.h = once.h AND d.size = once.size"""
+turn(n, r, source, size, h, copies, missing) AS (
+  SELECT 0, r, d.source, d.size, h, CASE WHEN d.size > 0 THEN copies ELSE 3 END, floor(target)::BIGINT - copies * plan.size FROM d JOIN plan ON d.source IS NOT DISTINCT FROM plan.source
+  UNION ALL
+  SELECT n + 1, r, source, size, h, copies + (fits AND upto <= missing)::INT, missing - coalesce(sum(size) FILTER (fits AND upto <= missing) OVER (PARTITION BY source), 0)::BIGINT
+  FROM (SELECT *, sum(CASE WHEN fits THEN size END) OVER (PARTITION BY source ORDER BY h) AS upto
+    FROM (SELECT *, copies = level AND size <= CASE WHEN least <= missing // {mixing.PART} THEN missing // {mixing.PART} ELSE missing END AS fits
+      FROM (SELECT *, min(CASE WHEN copies = level THEN size END) OVER (PARTITION BY source) AS least
+        FROM (SELECT *, min(CASE WHEN copies < 3 AND size <= missing THEN copies END) OVER (PARTITION BY source) AS level FROM turn WHERE missing > 0)
+        WHERE level IS NOT NULL)))),
+done AS (SELECT r, arg_max(copies, n) AS copies FROM turn GROUP BY r)
+SELECT doc_id, d.size::BIGINT AS size, plan.size AS source_size, target, (d.size * done.copies)::BIGINT AS taken
+FROM d JOIN plan ON d.source IS NOT DISTINCT FROM plan.source JOIN done USING (r)"""
+
+#: The contract alone: nothing of how documents are picked.
+_NEARNESS = f"""
+WITH {_GOAL}
+SELECT source, size AS source_size, target, true AS within_target, true AS nothing_fits, true AS at_most_three FROM goal"""
 
 _TOP = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
@@ -225,6 +243,6 @@ SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS labe
 
 #: The others need a classifier, a tokenizer, entropy, or patterns that look back: brute-force tests stand in.
 ORACLE: dict[str, str] = {
-    "op1_warc": _PAGES, "op5_near_duplicates": _NEAR, "op8_mixing": _MIX, "op9_top_products": _TOP, "op10_chat": _CHAT,
+    "op1_warc": _PAGES, "op5_near_duplicates": _NEAR, "op8_mixing": _MIX, "mixing_nearness": _NEARNESS, "op9_top_products": _TOP, "op10_chat": _CHAT,
     "op11_manifest": _MANIFEST, "op12_vector_codes": _CODES,
 }
