@@ -1,11 +1,13 @@
 """Near-duplicates, decontamination, mixing and toxicity against plain versions."""
 
+import itertools
 import random
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from helpers import CLASHING, WORDS, classes, documents, prose, shingles
 
 from tidemark.llm import decontam, graph, mixing, neardup, toxicity
@@ -274,3 +276,43 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r["predicted"] for r in none.collect()} == {0}
     assert toxicity.score_toxicity(documents(spark, []), labels).count() == 0
     assert CLASHING.startswith("doc_id")
+
+
+def plain_score(text, slopes, bias):
+    """The best window of eight words, every one of them added up anew."""
+    words = [w for w, _ in itertools.groupby(toxicity.LETTERS.findall(text.lower()))]
+    best = None
+    for at in range(max(1, len(words) - 7)):
+        total, number = 0.0, 0
+        for w in words[at : at + 8]:
+            codes = np.array([0, *map(ord, w), 0], dtype=np.uint32)
+            for n in (3, 4, 5):
+                for i in range(len(codes) - n + 1):
+                    rolled = 0
+                    for c in codes[i : i + n].tolist():
+                        rolled = (rolled * 0x01000193 + c) % 2**32
+                    total += slopes[((rolled * 0x9E3779B1 + n) % 2**32 * 0x85EBCA6B % 2**32) >> (32 - toxicity.BITS)]
+                    number += 1
+        mean = total / max(toxicity.FEWEST, number)
+        best = mean if best is None or mean > best else best
+    return 1 / (1 + np.exp(-(bias + (best if words else 0))))
+
+
+def test_scores_are_those_of_a_plain_loop():
+    rng = random.Random(8)
+    slopes = np.random.default_rng(8).normal(0, 30, 1 << toxicity.BITS).astype(np.float32)
+    texts = ["", "..", "a", "no no no", "É ß 12 x1y"] + [prose(rng, rng.randint(1, 30)) for _ in range(40)] + ["".join(rng.choices("abé .\n1", k=90)) for _ in range(40)]
+    assert np.allclose(toxicity.score_texts(texts, slopes, -0.4), [plain_score(t, slopes, -0.4) for t in texts], atol=1e-5)
+
+
+def test_repeated_rows_do_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_CLEAN", 40)
+    rng = random.Random(2)
+    rows = [(i, prose(rng, 30) + (" vilescum rotter" if i % 5 == 0 else "")) for i in range(100)]
+    docs = documents(spark, [(1, rows[1][1])] * 500 + rows + [(7, "another text of one id"), (900, "x " * 9_000)])
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(100)] * 3 + [(1, 0)] * 90 + [(3, 1), (None, 1), (900, 0)], "doc_id bigint, toxic int")
+    sample = toxicity.training_sample(docs, labels, F.lit(True)).collect()
+    ids = [r["_id"] for r in sample]
+    assert len(set(ids)) == len(ids) and 3 not in ids and sum(r["_toxic"] for r in sample) == 20 and len(ids) == 60
+    monkeypatch.setattr(toxicity, "MAX_CLEAN", 2500)
+    assert 900 in [r["_id"] for r in toxicity.training_sample(docs, labels, F.lit(True)).collect()]  # long texts train too

@@ -134,3 +134,4 @@ def test_manifest_sums(spark, vocabulary):
     folder = new_folder(spark, "tokens")
     row = tokens.write_tokens(documents(spark, [(i, "a b c") for i in range(50)]), folder, vocabulary).agg(F.sum("documents"), F.sum("tokens")).first()
     assert row[0] == 50 and row[1] == 200
+    assert tokens.read_tokens(tokens.read_manifest(spark, folder), folder).count() == 50

@@ -100,3 +100,13 @@ def test_digest_columns(spark):
     rows = pii.find_pii(documents(spark, [(1, "a@b.co 1.2.3.4")])).select(joined_spans(F.col("spans")))
     assert rows.first()[0] == "email:0:6,ip:7:14"
     assert spark.range(1).select(hex_digest(F.lit("é"))).first()[0] == hashlib.sha256("é".encode()).hexdigest()
+
+
+def test_long_runs_take_linear_time():
+    import time
+
+    for text in ("a" * 10**6 + "@", "mailto:" * 150_000, "mailto:a" * 120_000 + "@ ", "1" * 10**6, "1." * 500_000, "a@" * 500_000, "-" * 10**6 + "1 1"):
+        start = time.perf_counter()
+        pii.pii_spans(text)
+        assert time.perf_counter() - start < 10, text[:20]
+    assert pii.pii_spans("x mailto:joe:pw@host.org/a b")[-1] == ("url", 2, 26)

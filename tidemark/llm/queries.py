@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +9,14 @@ from tidemark.llm import chat, codes, decontam, merkle, mixing, neardup, pii, qu
 from tidemark.llm.common import hex_digest, joined_spans, table
 from tidemark.session import materialize
 
-#: The vocabulary file of the token queries.
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+def __getattr__(name: str) -> str:
+    """``TOKENIZER``: the vocabulary file of the token queries, looked up by those that use it."""
+    if name != "TOKENIZER":
+        raise AttributeError(name)
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +45,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token ids, read back from the files."""
-    return tokens.token_records(table(spark, sf_dir, "documents"), TOKENIZER)
+    return tokens.token_records(table(spark, sf_dir, "documents"), __getattr__("TOKENIZER"))
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

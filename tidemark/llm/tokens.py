@@ -21,12 +21,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batch_of, small_batches
 from tidemark.llm.files import create, new_folder, open_file
-from tidemark.session import materialize
 
 END_ID = 2
 #: Added to a rotated checksum, so that checksums of data that hold checksums stay apart.
@@ -172,12 +171,12 @@ def read_frame(file, offset: int, name: str) -> bytes:
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """Write the token ids of all ``docs`` to ``folder`` in ascending ``doc_id`` order and return the manifest.
+    """Write the token ids of all ``docs`` to ``folder`` in ascending ``doc_id`` order, with a manifest beside them, which is returned.
 
     The manifest has one row per file, in order. A task that is run again writes a file of another name, and only
     the files of finished tasks get into the manifest, so lost executors leave no doubles. Null ids come first;
     rows of equal id are ordered by a hash of their text. Null and empty texts are documents of the end id alone.
-    An empty table gives an empty manifest. ``tokenizer`` is a path that every executor can read.
+    An empty table gives an empty manifest; other columns, whatever their names, are not read. ``tokenizer`` is a path that every executor can read.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     named = docs.select(docs["doc_id"].cast("bigint").alias("_id"), docs["text"].alias("_text"))
@@ -207,7 +206,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
             schema = pa.schema([("part", pa.int32()), ("file", pa.string()), ("documents", pa.int64()), ("tokens", pa.int64()), ("bytes", pa.int64())])
             yield batch_of({"part": [part], "file": [name], "documents": [len(index)], "tokens": [tokens], "bytes": [at]}, schema)
 
-    return materialize(ordered.mapInArrow(write, MANIFEST))
+    ordered.mapInArrow(write, MANIFEST).write.parquet(f"{folder}/manifest")
+    return read_manifest(docs.sparkSession, folder)
+
+
+def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest that ``write_tokens`` left beside its files."""
+    return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
 def read_tokens(manifest: DataFrame, folder: str, seed: int | None = None) -> DataFrame:

@@ -18,9 +18,11 @@ from tidemark.llm.common import runs
 WINDOW, GRAMS, BITS, SIZE = 8, (3, 4, 5), 18, 8
 #: Subwords that an average counts at least; missing ones are zero vectors. So one harmless word alone decides nothing.
 FEWEST = 64
-#: Bounds of the training sample: labelled rows of each class, and characters of one text in it.
-MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1000, 2500, 10_000
+#: Bounds of the training sample: labelled texts of each class, and characters of all texts of a class.
+MAX_TOXIC, MAX_CLEAN, MAX_TEXT = 1000, 2500, 8_000_000
 WHOLE_ROUNDS, WINDOW_ROUNDS, RATE = 10, 35, 0.2
+#: Pull of the vectors to zero. Chosen on a quarter of the training rows: n-grams of one text alone stay small.
+DECAY = 1e-5
 
 
 @cache
@@ -182,7 +184,7 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7) -> SubwordBag:
         on_gram = np.bincount(gram, weights=on_word[word_of], minlength=len(seen)).astype(np.float32)
         on_slope = on_gram @ vectors
         gradients = [
-            np.outer(on_gram, slope) + 1e-7 * vectors,
+            np.outer(on_gram, slope) + DECAY * vectors,
             np.stack([-on_slope, on_slope], axis=1) + 1e-5 * softmax,
             np.array([-error.sum(), error.sum()], dtype=np.float32),
         ]
@@ -195,16 +197,35 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7) -> SubwordBag:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, trains: Column) -> DataFrame:
-    """A bounded, repeatable sample of labelled texts: at most MAX_TOXIC + MAX_CLEAN rows of at most MAX_CHARS characters.
+    """A bounded, repeatable sample of labelled texts: ``_text`` and ``_toxic`` of at most MAX_TOXIC + MAX_CLEAN whole texts.
 
-    Labels are chosen by a hash of their id before the texts are read. Rows without id, label or text take no part.
+    Ids are chosen by a hash, each class by itself, before texts are read; of a repeated id one text counts, and an id
+    labelled both ways teaches nothing. A text that would take its class beyond MAX_TEXT characters is passed over.
+    Rows without id, label or text take no part.
     """
-    known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_toxic")).where(F.col("_toxic").isin(0, 1)).where(trains)
+    known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_toxic")).where(F.col("_toxic").isin(0, 1) & F.col("_id").isNotNull()).where(trains)
+    one = known.groupBy("_id").agg(F.min("_toxic").alias("_toxic"), F.max("_toxic").alias("_max")).where("_toxic = _max").drop("_max")
+    texts = docs.select(docs["doc_id"].alias("_id"), docs["text"].alias("_text")).where(F.length("_text") > 0)
+    # Only ids that have a text; one row each, however often they repeat.
+    there = one.join(texts.select("_id"), "_id", "left_semi")
     order = [F.md5(F.col("_id").cast("string")), "_id"]
-    picked = known.where("_toxic = 1").orderBy(*order).limit(MAX_TOXIC).union(known.where("_toxic = 0").orderBy(*order).limit(MAX_CLEAN))
-    texts = docs.select(docs["doc_id"].alias("_id"), docs["text"].alias("_text")).where(F.length("_text").between(1, MAX_CHARS))
-    # At most MAX_TOXIC + MAX_CLEAN ids: that bounds the broadcast and what comes back.
-    return texts.join(F.broadcast(picked), "_id").orderBy("_id", "_text", "_toxic").limit(MAX_TOXIC + MAX_CLEAN)
+    picked = there.where("_toxic = 1").orderBy(*order).limit(MAX_TOXIC).union(there.where("_toxic = 0").orderBy(*order).limit(MAX_CLEAN))
+    # At most MAX_TOXIC + MAX_CLEAN ids: that bounds the broadcasts and what comes back.
+    rows = [r.asDict() for r in picked.collect()]
+    schema = "_id bigint, _toxic int"
+    chosen = docs.sparkSession.createDataFrame([(r["_id"], int(r["_toxic"])) for r in rows], schema)
+    mine = texts.join(F.broadcast(chosen), "_id")
+    first = F.min_by(F.struct(F.length("_text").alias("n"), F.md5(F.col("_text").cast("binary")).alias("h")), F.md5(F.col("_text").cast("binary")))
+    sizes = {r["_id"]: r["of"] for r in mine.groupBy("_id").agg(first.alias("of")).collect()}
+    room, kept = {0: MAX_TEXT, 1: MAX_TEXT}, []
+    for r in rows:
+        of = sizes.get(r["_id"])
+        if of is not None and of["n"] <= room[r["_toxic"]]:
+            room[r["_toxic"]] -= of["n"]
+            kept.append((r["_id"], int(r["_toxic"]), of["h"]))
+    chosen = docs.sparkSession.createDataFrame(kept, schema + ", _h string")
+    same = texts.withColumn("_h", F.md5(F.col("_text").cast("binary"))).join(F.broadcast(chosen), ["_id", "_h"])
+    return same.groupBy("_id", "_toxic").agg(F.first("_text").alias("_text")).orderBy(F.md5(F.col("_id").cast("string")), "_id")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -215,8 +236,10 @@ def held_out(doc_id: Column) -> Column:
 def toxicity(docs: DataFrame, labels: DataFrame, text: Column) -> Column:
     """A score from 0 to 1 for the whole of each ``text``, by a model fitted on ``labels`` outside the held-out rows.
 
-    Null and empty texts, and texts without letters, get the score of the bias alone. Neither ids nor any
-    other column are inputs. Without labels of both classes every score is next to 0.
+    Null and empty texts, and texts without letters, get the score of the bias alone; long ones are scored whole, by
+    their best window. Neither ids nor any other column are inputs, so equal texts score the same however often they
+    repeat, and columns of any name may be there. Without labels of both classes every score is next to 0; an empty
+    table gives no rows.
     """
     rows = training_sample(docs, labels, ~held_out(F.col("_id"))).select("_text", "_toxic").toPandas()
     model = fit(rows["_text"].tolist(), rows["_toxic"].tolist())
