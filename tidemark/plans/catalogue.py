@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.plans import features, flows, retrieval, sampling, storage, temporal
+from tidemark.plans import features, flows, ranking, retrieval, sampling, storage, temporal
 
-TOPICS = [temporal, sampling, retrieval, features, flows, storage]
+TOPICS = [temporal, sampling, retrieval, features, flows, storage, ranking]
 
 
 def all_queries() -> dict:

@@ -150,14 +150,14 @@ def live_features(spark, sf_dir):
     return USER_FRESH_VIEW.live(newest, as_of).select("user_id", F.unix_micros("timestamp").alias("us"), "user_rating_list_10_recent_asin")
 
 
-def _split(spark, sf_dir):
+def train_and_validation(spark, sf_dir):
     rows = distinct_interactions(spark, sf_dir)
     return chronological_split(rows, "timestamp", ["user_id", "parent_asin", "rating"])
 
 
 def ranker_training_table(spark, sf_dir):
     """Rows, user features and item counts of the training table by split and label."""
-    rows = tr.ranker_training_table(*_split(spark, sf_dir))
+    rows = tr.ranker_training_table(*train_and_validation(spark, sf_dir))
     return rows.groupBy("split", "label").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("user_rating_cnt_90d").alias("user_cnt"),
@@ -168,25 +168,8 @@ def ranker_training_table(spark, sf_dir):
 def item2vec_vectors(spark, sf_dir):
     """Item embeddings from user sequences: every item with a neighbour has one (training is not repeatable elsewhere)."""
     vectors = m.item_embeddings(distinct_interactions(spark, sf_dir), dim=16)
-    return vectors.select("id", F.size("vec").alias("size"))
-
-
-def ranker_scores(spark, sf_dir):
-    """Validation rows scored by a ranker trained on the older rows (rows only)."""
-    rows = materialize(tr.ranker_training_table(*_split(spark, sf_dir)))
-    times = F.transform(c.id_list("user_rating_list_10_recent_asin_timestamp"), lambda x: x.cast("bigint"))
-    ages = c.recency_buckets(t.left_pad(times, 10, -1), F.unix_seconds("timestamp"))
-    ready = m.sequence_features(rows.withColumn("buckets", ages)).fillna(0.0)
-    columns = [*m.SEQUENCE_FEATURES, *tr.ITEM_FEATURES, "user_rating_cnt_90d", "user_rating_avg_prev_rating_90d"]
-    ranker = m.fit_ranker(ready.filter("split = 'train'"), columns)
-    scored = m.rank_scores(ranker, ready.filter("split = 'val'"))
-    return scored.select("user_id", "parent_asin", F.unix_seconds("timestamp").alias("sec"), "label", F.round("score", 4).alias("score"))
-
-
-def ranker_scores_range(spark, sf_dir):
-    """The scored positive rows, all of them, with a check of the score's range."""
-    rows = ranker_scores(spark, sf_dir).filter("label = 1")
-    return rows.select("user_id", "parent_asin", "sec", F.col("score").between(0, 1).alias("in_range"))
+    sound = F.forall("vec", lambda v: ~F.isnan(v) & (F.abs(v) < 1000)) & F.exists("vec", lambda v: v != 0)
+    return vectors.select("id", F.size("vec").alias("size"), sound.alias("is_sound"))
 
 
 def user_top_items(spark, sf_dir):
@@ -203,7 +186,7 @@ QUERIES = {
     for f in (
         month_partition_counts, compaction_bins, newest_snapshots, freshness, warehouse_load, event_messages,
         stream_capture, stream_recent_items, materialised_features, live_features, ranker_training_table,
-        item2vec_vectors, ranker_scores, ranker_scores_range, user_top_items,
+        item2vec_vectors, user_top_items,
     )
 }
 
@@ -211,10 +194,7 @@ from tidemark.plans.temporal import _ITEM_STATS, _RECENT, _USER_STATS  # noqa: E
 
 ORACLE = {
     "item2vec_vectors": f"""WITH {DISTINCT_SQL}, r AS (SELECT parent_asin, count(*) OVER (PARTITION BY user_id) AS n FROM uniq)
-SELECT DISTINCT parent_asin AS id, 16 AS size FROM r WHERE n > 1""",
-    "ranker_scores_range": f"""WITH {DISTINCT_SQL}, numbered AS (SELECT *, row_number() OVER (ORDER BY sec, user_id, parent_asin, rating) AS rn, count(*) OVER () AS total FROM uniq),
-  cut AS (SELECT max(sec) + 1 AS c FROM numbered WHERE rn <= floor(total * 0.8))
-SELECT user_id, parent_asin, sec, true AS in_range FROM uniq, cut WHERE sec >= c""",
+SELECT DISTINCT parent_asin AS id, 16 AS size, true AS is_sound FROM r WHERE n > 1""",
     "month_partition_counts": f"WITH {INTERACTIONS_SQL} SELECT strftime(ts, '%Y-%m') AS year_month, count(*) AS n_rows FROM interactions GROUP BY 1",
     "compaction_bins": f"""WITH RECURSIVE {INTERACTIONS_SQL}, f AS (SELECT month, n, row_number() OVER (ORDER BY month) AS i FROM
     (SELECT strftime(ts, '%Y-%m') AS month, count(*) AS n FROM interactions GROUP BY 1)),

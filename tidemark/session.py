@@ -55,18 +55,34 @@ def shared_dir(spark: SparkSession) -> str:
 _MADE: list[str] = []
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def materialize(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder, in a folder per value of ``by`` if given, and read it back.
 
     Cuts the lineage, fixes values that depend on task placement, and survives
     lost executors. Parquet keeps sizes known to the planner. The folder stays until
-    the ``stage_folders`` block around it ends, or for good where there is none.
+    ``release`` or the end of the ``stage_folders`` block around it, or for good where there is neither.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
     _MADE.append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage = path
+    return out
+
+
+def _delete(place: str) -> None:
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(place)
+    if system.get_file_info(path).type == fs.FileType.Directory:
+        system.delete_dir(path)
+
+
+def release(stored: DataFrame) -> None:
+    """Remove what ``materialize`` wrote for ``stored``, once nothing reads it any more."""
+    _MADE.remove(stored._stage)
+    _delete(stored._stage)
 
 
 @contextmanager
@@ -76,16 +92,12 @@ def stage_folders() -> Iterator[None]:
     Write the result out before: a DataFrame made inside reads these folders only when
     it runs.
     """
-    from pyarrow import fs
-
     first = len(_MADE)
     try:
         yield
     finally:
         for place in _MADE[first:]:
-            system, path = fs.FileSystem.from_uri(place)
-            if system.get_file_info(path).type == fs.FileType.Directory:
-                system.delete_dir(path)
+            _delete(place)
         del _MADE[first:]
 
 
