@@ -55,7 +55,7 @@ def shared_dir(spark: SparkSession) -> str:
 _MADE: list[str] = []
 
 
-def materialize(df: DataFrame, by: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, by: str | None = None, rows_per_file: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder, in a folder per value of ``by`` if given, and read it back.
 
     Cuts the lineage, fixes values that depend on task placement, and survives
@@ -65,7 +65,8 @@ def materialize(df: DataFrame, by: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
     _MADE.append(path)
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    (writer.option("maxRecordsPerFile", rows_per_file) if rows_per_file else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stage = path
     return out
