@@ -215,10 +215,8 @@ def test_mixing(spark):
     assert mixing.mix_sources(documents(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("ordered", [50_000, 10])
-def test_a_target_is_met_beside_a_long_document(spark, monkeypatch, ordered):
+def test_a_target_is_met_beside_a_long_document(spark):
     """Three copies of the short documents fill what the long one leaves open; ids may repeat."""
-    monkeypatch.setattr(mixing, "ORDERED", ordered)
     rng = random.Random(3)
     texts = [(i, "a " * 100) for i in range(200)] + [(200, "b " * 100_000)] + [(1000 + i, "c " * rng.randint(1, 400)) for i in range(60)]
     texts += [(2000 + i // 3, "d " * rng.randint(0, 90)) for i in range(90)] + [(3000, "e " * 50_000)]

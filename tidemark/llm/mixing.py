@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WORD
-from tidemark.session import materialize
+from tidemark.session import materialize, release
 
 #: What the driver may hold: distinct sets of sources. Beyond it the operator stops with an error.
 MAX_PATTERNS = 200_000
@@ -16,8 +16,6 @@ SEED = "mix-1"
 HASH_BITS, STEP_BITS = 60, 12
 #: Documents of at most this part of the missing words go first: what the next one leaves open is then smaller still.
 PART = 8
-#: Documents of one set of sources that a single window may order; beyond it, sums over ranges of the hash come first.
-ORDERED = 50_000
 #: Repeated ids that are broadcast; more of them are shuffled.
 SMALL = 200_000
 
@@ -91,14 +89,6 @@ def route(capacity: dict, members: dict, quota: dict, most: int) -> dict:
     return given
 
 
-def _ordered(rows: DataFrame, rest: dict[int, int]) -> dict[int, tuple[int, int]]:
-    """What ``_prefix`` finds, by one window a pattern."""
-    known = rows.sparkSession.createDataFrame(list(rest.items()), "_pattern bigint, _rest bigint")
-    upto = F.sum("_size").over(Window.partitionBy("_pattern").orderBy("_hash"))
-    taken = rows.join(F.broadcast(known), "_pattern").withColumn("_upto", upto).where("_upto <= _rest")
-    return {r["_pattern"]: (r["last"], r["words"]) for r in taken.groupBy("_pattern").agg(F.max("_hash").alias("last"), F.max("_upto").alias("words")).collect()}
-
-
 def _prefix(rows: DataFrame, rest: dict[int, int]) -> dict[int, tuple[int, int]]:
     """Per pattern the last hash and the words of the longest run of ``rows``, in order of hash, within ``rest`` words.
 
@@ -145,6 +135,15 @@ def _copies(unit: Column, number: Column, full: Column, picks: Column) -> Column
     return F.aggregate(picks, full, lambda n, p: n + ((n == p["level"]) & (unit <= p["cap"]) & (number <= p["upto"])).cast("int"))
 
 
+def _levels(units: DataFrame, known: list[tuple]) -> DataFrame:
+    """Units of the patterns in ``known`` (pattern, full copies, picks, largest size, level asked for) with the copies they have."""
+    schema = f"_pattern bigint, _full int, _picks {PICKS}, _most bigint, _at int"
+    few = units.sparkSession.createDataFrame(known, schema)  # one row per pattern
+    same = (units["_pattern"] == few["_pattern"]) & (units["_size"] <= few["_most"])
+    copies = _copies(F.col("_size"), F.col("_hash"), F.col("_full"), F.col("_picks"))
+    return units.join(F.broadcast(few), same).select(units["_pattern"], "_hash", "_size", "_at", copies.alias("_level"))
+
+
 def _picks(units: DataFrame, rest: dict[int, int], full: dict[int, int], most: int) -> dict[int, list[tuple[int, int, int]]]:
     """The picks that give ``rest`` more words of each pattern: (level, last hash, largest size).
 
@@ -153,17 +152,15 @@ def _picks(units: DataFrame, rest: dict[int, int], full: dict[int, int], most: i
     so few rounds are left. Where no document of a level fits any more, the next copy of all begins; it ends when no
     document with fewer than ``most`` copies fits.
     """
-    spark = units.sparkSession
     picks: dict[int, list[tuple[int, int, int]]] = {p: [] for p in rest}
     left = {p: r for p, r in rest.items() if r > 0 and full[p] < most}
     while left:
-        known = spark.createDataFrame([(p, full[p], picks[p]) for p in left], f"_pattern bigint, _full int, _picks {PICKS}")
-        state = units.join(F.broadcast(known), "_pattern").select("_pattern", "_hash", "_size", _copies(F.col("_size"), F.col("_hash"), F.col("_full"), F.col("_picks")).alias("_level"))
+        # What is larger than the missing words cannot be picked any more: few documents are left after the first rounds.
+        known = [(p, full[p], picks[p], words, None) for p, words in left.items()]
+        state = _levels(units, known)
         least: dict[int, dict[int, int]] = {}
-        numbers = {}
-        for r in state.where(F.col("_level") < most).groupBy("_pattern", "_level").agg(F.min("_size").alias("least"), F.count(F.lit(1)).alias("n")).collect():
+        for r in state.where(F.col("_level") < most).groupBy("_pattern", "_level").agg(F.min("_size").alias("least")).collect():
             least.setdefault(r["_pattern"], {})[r["_level"]] = r["least"]
-            numbers[r["_pattern"], r["_level"]] = r["n"]
         caps = {}
         for p, words in list(left.items()):
             level = min((n for n, size in least.get(p, {}).items() if size <= words), default=None)
@@ -173,13 +170,11 @@ def _picks(units: DataFrame, rest: dict[int, int], full: dict[int, int], most: i
                 caps[p] = (level, words // PART if least[p][level] <= words // PART else words)
         if not left:
             break
-        bounds = spark.createDataFrame([(p, *c) for p, c in caps.items()], "_pattern bigint, _at int, _cap bigint")
-        fitting = state.join(F.broadcast(bounds), "_pattern").where((F.col("_level") == F.col("_at")) & (F.col("_size") <= F.col("_cap")))
-        small = max(numbers[p, level] for p, (level, _) in caps.items()) <= ORDERED
-        found = (_ordered if small else _prefix)(fitting.select("_pattern", "_hash", "_size"), left)
-        for p, (last, words) in found.items():
+        fitting = materialize(_levels(units, [(p, full[p], picks[p], cap, level) for p, (level, cap) in caps.items()]).where("_level = _at").select("_pattern", "_hash", "_size"))
+        for p, (last, words) in _prefix(fitting, left).items():
             picks[p].append((caps[p][0], last, caps[p][1]))
             left[p] -= words
+        release(fitting)
         left = {p: r for p, r in left.items() if r > 0}
     return picks
 
