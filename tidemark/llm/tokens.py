@@ -188,7 +188,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         encode, index, at, tokens = encoder(tokenizer), [], 0, 0
         end = np.array([end_id], encode.kind).tobytes()
-        for batch in small_batches(batches, "_text", 6 << 20):
+        for batch in small_batches(batches, "_text", 2 << 20):
             made = made or create(folder, name + ".rec")
             framed = []
             for doc, ids in zip(batch.column("_id").to_pylist(), encode.encode(batch.column("_text"))):
