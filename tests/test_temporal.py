@@ -1,11 +1,13 @@
 import math
 from datetime import datetime, timedelta, timezone
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import temporal as t
 from tidemark.operators.asof import as_of_join
+from tidemark.operators.slices import hot_key_grid, with_slices
 from tidemark.functions.columns import recency_bucket, recency_buckets
 
 DAY = 86_400
@@ -119,3 +121,54 @@ def test_means_are_exact_and_nan_leaves_with_its_window(spark):
     assert [got[i][0] for i in (1, 2, 3)] == [1e16, 0.1, 0.25]
     assert math.isnan(got[4][0]) and got[5][0] == 3.0 and got[6][0] == inf and got[7][0] == -inf and got[8][0] == 2.0 and got[9][0] is None
     assert got[2][1] == (1e16 + 0.1) / 2 and math.isnan(got[6][1]) and math.isnan(got[8][1]) and got[9][1] == -inf
+
+
+def exact_mean(values):
+    return float(sum(map(Fraction, values)) / len(values))
+
+
+@pytest.mark.parametrize("max_rows", [10**6, 4])
+def test_means_of_values_of_any_size(spark, max_rows):
+    values = [1e-10, 3e-10, 1e19, 1e19, 5e-324, 1.7e308, -1.7e308, 2.0**-1040, 0.1, 0.2, -1e19, 1e-10, 0.0, 7.0, 1e300, 2.5]
+    rows = spark.createDataFrame([("k", i * 10, v) for i, v in enumerate(values)], "k string, sec bigint, v double")
+    spans = {"a": 10, "b": 20, "c": 70}
+    stats = t.rolling_stats(
+        rows.selectExpr("k", "timestamp_seconds(sec) as at", "v"), "k", "at", "v", [t.Rolling(n, s, "mean") for n, s in spans.items()], max_rows
+    )
+    got = {r["s"]: r for r in stats.selectExpr("unix_seconds(at) as s", *spans).collect()}
+    for i in range(1, len(values)):
+        for name, span in spans.items():
+            assert got[i * 10][name] == pytest.approx(exact_mean(values[max(0, i - span // 10) : i]), rel=1e-15, abs=0), (i, name)
+
+
+def burst(spark):
+    """A key and the NULL key with nearly all rows in one second, and one row years before."""
+    rows = [(k, f"i{n % 37:02d}", float(n % 5), 0 if n == 0 else 10**9 + (n > 380)) for k in ("hot", None) for n in range(400)]
+    rows += [("cold", f"i{n}", 1.0, 10**9 + n) for n in range(5)]
+    frame = spark.createDataFrame(rows, "user_id string, parent_asin string, rating double, sec bigint")
+    return frame.selectExpr("user_id", "parent_asin", "rating", "timestamp_seconds(sec) as timestamp")
+
+
+def test_slices_follow_the_rows(spark):
+    rows = burst(spark).distinct().withColumn("at", F.struct(F.unix_seconds("timestamp").alias("s"), "parent_asin", "rating"))
+    grid = hot_key_grid(rows, "user_id", "at", 20)
+    cut = with_slices(rows, grid, "user_id", "at")
+    sizes = {(r.user_id, r._slice): r["count"] for r in cut.groupBy("user_id", "_slice").count().collect()}
+    for key in ("hot", None):
+        slices = sorted(s for k, s in sizes if k == key)
+        assert slices == list(range(len(slices))) and len(slices) > 5
+        assert max(sizes[key, s] for s in slices) <= 20
+    assert sizes["cold", 0] == 5 and hot_key_grid(rows, "user_id", "at", 1000) is None
+
+
+def test_bursts_and_null_keys_change_nothing(spark):
+    rows = burst(spark)
+    for operator in (t.recent_items, t.user_window_stats):
+        plain, split = (sorted(map(str, operator(rows, max_rows=m).collect())) for m in (10**6, 20))
+        assert plain == split
+    numbered = rows.distinct().withColumn("item_indice", F.substring("parent_asin", 2, 3).cast("bigint"))
+    plain, split = (sorted(map(str, t.history_sequences(numbered, max_rows=m).collect())) for m in (10**6, 20))
+    assert plain == split
+    features = rows.groupBy("user_id", "timestamp").agg(F.count("*").alias("n"))
+    plain, split = (sorted(map(str, as_of_join(rows, features, "user_id", "timestamp", ["n"], max_rows=m).collect())) for m in (10**6, 20))
+    assert plain == split

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.slices import HOT_ROWS, SLICE, hot_key_grid, with_slices
+from tidemark.operators.slices import HOT_ROWS, SLICE, hot_key_grid, with_carry, with_slices
 
 DAY = 86_400
 
@@ -39,6 +40,33 @@ USER_MEASURES = [
 ]
 
 
+#: Bits of a value that one running sum holds: sums stay whole numbers for 2 ** 39 rows of a key.
+BIN_BITS = 24
+
+
+def _lowest_bit(number: Column) -> Column:
+    """The power of two of the last bit of a finite double other than 0."""
+    unit = F.greatest(F.round(F.log2(F.abs(number))) - 54, F.lit(-1074.0))
+    whole = (number / F.pow(F.lit(2.0), unit)).cast("bigint")
+    return unit + F.round(F.log2(whole.bitwiseAND(-whole).cast("double")))
+
+
+def _bins(number: Column, low: int, high: int) -> tuple[list[Column], list[float]]:
+    """Whole numbers and their units, which add up to the value without rounding.
+
+    All values are multiples of 2 ** low and below 2 ** high. What a unit takes is the value rounded to it, less
+    what the next larger unit took; a value far above a unit has nothing left for it.
+    """
+    units = [2.0**p for p in range(low, high, BIN_BITS)]
+    taken = [F.rint(number / u) for u in units]
+    parts = []
+    for i, u in enumerate(units):
+        part = taken[i] if i + 1 == len(units) else taken[i] - taken[i + 1] * 2.0**BIN_BITS
+        most = u * 2.0**100 if u < 2.0**900 else float("inf")
+        parts.append(F.when(F.abs(number) < most, part).otherwise(F.when(number.isNotNull(), 0.0)).cast("bigint"))
+    return parts, units
+
+
 def rolling_stats(
     df: DataFrame,
     key: str,
@@ -46,7 +74,6 @@ def rolling_stats(
     value: str,
     measures: list[Rolling],
     max_rows: int = HOT_ROWS,
-    scale: int = 9,
 ) -> DataFrame:
     """Rolling counts and means per distinct (key, time), copies of a row counted once.
 
@@ -54,10 +81,10 @@ def rolling_stats(
     passed, so every row costs one step of a running sum. A sliding frame would
     add up the whole span again at every row.
 
-    What leaves must cancel exactly, so values are added up as whole numbers: the part
-    before the point and the part behind it, in units of 10 ** -scale. NaN and infinities
-    are counted and decide a mean only while they are inside its span. A value, or a sum
-    of values, beyond 9e18 stops the job.
+    What leaves must cancel exactly, so a value is added up as whole numbers of 24 bits each, one for every range of
+    powers of two that the values have; small whole ratings need one. Sums are exact at any size of the values, and a
+    mean is rounded as its largest parts are added. NaN and infinities are counted and decide a mean only while they
+    are inside its span.
     """
     spans = sorted({m.seconds for m in measures})
     second = F.unix_seconds(F.col(time))
@@ -65,16 +92,26 @@ def rolling_stats(
         F.struct((second + span).alias("at"), F.lit(span).cast("bigint").alias("span"))
         for span in spans
     ]
-    grid = hot_key_grid(df.select(key, second.alias("_at")), key, "_at", max_rows)
+    number = F.col(value).cast("double")
+    finite = F.abs(number) < F.lit(float("inf"))
+    bits = F.when(finite & (number != 0), number)
+    # One job: rows of the largest key, and the powers of two between which all values lie.
+    per_key = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(_lowest_bit(bits)).alias("low"), F.max(F.abs(bits)).alias("high")
+    )
+    found = per_key.agg(F.max("rows").alias("rows"), F.min("low").alias("low"), F.max("high").alias("high")).first()
+    grid = None
+    if (found["rows"] or 0) > max_rows:
+        grid = hot_key_grid(df.select(key, second.alias("_at")), key, "_at", max_rows, (0, *spans))
     # Move each row once, before copies go and before it is multiplied into marks: without
     # hot keys all that follows stays within the tasks of their key.
     rows = df.repartition(key).distinct() if grid is None else df.distinct()
-    number = F.col(value).cast("double")
-    finite = F.abs(number) < F.lit(float("inf"))
-    whole = F.when(finite, F.floor(number)).cast("bigint")
-    part = F.when(finite, F.round((number - F.floor(number)) * 10**scale)).cast("bigint")
+    parts, units = [], []
+    if found["low"] is not None:
+        parts, units = _bins(F.when(finite, number), int(found["low"]), math.frexp(found["high"])[1])
+    bins = [f"_b{i}" for i in range(len(units))]
     stats = {
-        "_c": F.count(F.lit(1)), "_n": F.count(value), "_w": F.sum(whole), "_p": F.sum(part),
+        "_c": F.count(F.lit(1)), "_n": F.count(value), **{n: F.sum(p) for n, p in zip(bins, parts)},
         "_nan": F.count(F.when(F.isnan(number), 1)),
         "_up": F.count(F.when(number == float("inf"), 1)), "_down": F.count(F.when(number == float("-inf"), 1)),
     }
@@ -94,7 +131,7 @@ def rolling_stats(
 
     needed: dict[str, Column] = {}
     for m in measures:
-        for stat in ["_n", "_w", "_p", "_nan", "_up", "_down"] if m.kind == "mean" else ["_c"]:
+        for stat in ["_n", *bins, "_nan", "_up", "_down"] if m.kind == "mean" else ["_c"]:
             needed[f"{stat}_{m.seconds}"] = change(stat, m.seconds)
     order = Window.partitionBy(*group).orderBy("_at")
     earlier = order.rangeBetween(Window.unboundedPreceding, -1)
@@ -107,9 +144,9 @@ def rolling_stats(
     if grid is not None:
         sums = moves.filter("_hot").groupBy(*group).agg(*[F.sum(c).alias(n) for n, c in needed.items()])
         before = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        carry = sums.select(*group, *[F.sum(n).over(before).alias(f"_b{n}") for n in needed])
-        rolled = rolled.join(carry, group, "left").withColumns(
-            {f"_t{n}": F.col(f"_t{n}") + F.coalesce(f"_b{n}", F.lit(0)) for n in needed}
+        carry = sums.select(*group, *[F.sum(n).over(before).alias(f"_was{n}") for n in needed])
+        rolled = with_carry(rolled, carry, key).withColumns(
+            {f"_t{n}": F.col(f"_t{n}") + F.coalesce(f"_was{n}", F.lit(0)) for n in needed}
         )
 
     def result(m: Rolling) -> Column:
@@ -118,8 +155,11 @@ def rolling_stats(
         elif m.kind == "count_now":
             out = F.col(f"_t_c_{m.seconds}") + F.col("_now")
         else:
-            known, whole, part, nan, up, down = (F.col(f"_t{s}_{m.seconds}") for s in ("_n", "_w", "_p", "_nan", "_up", "_down"))
-            finite = (whole.cast("double") + part.cast("double") / float(10**scale)) / known
+            known, nan, up, down = (F.col(f"_t{s}_{m.seconds}") for s in ("_n", "_nan", "_up", "_down"))
+            total = F.lit(0.0)
+            for name, unit in reversed(list(zip(bins, units))):
+                total = total + F.col(f"_t{name}_{m.seconds}").cast("double") * unit
+            finite = total / known
             odd = F.when((nan > 0) | ((up > 0) & (down > 0)), float("nan")).when(up > 0, float("inf")).when(down > 0, float("-inf"))
             out = F.when(known > 0, F.coalesce(odd, finite))
         return out.alias(m.name)
@@ -141,6 +181,15 @@ def user_window_stats(
     return rolling_stats(df, user, time, rating, USER_MEASURES, max_rows)
 
 
+def hot_users(df: DataFrame, user: str, time: str, order: list[str], max_rows: int) -> DataFrame | None:
+    """The grid of hot users over (time, *order); without ``order`` rows of one time stay together."""
+    return hot_key_grid(df.select(user, _place(time, order).alias("_at")), user, "_at", max_rows)
+
+
+def _place(time: str, order: list[str]) -> Column:
+    return F.struct(F.unix_micros(F.col(time)).alias("at"), *[F.col(c).alias(f"by{i}") for i, c in enumerate(order)])
+
+
 def previous_entries(
     rows: DataFrame,
     user: str,
@@ -148,19 +197,18 @@ def previous_entries(
     order: list[str],
     entry: Column,
     n: int,
-    max_rows: int,
-    source: DataFrame | None = None,
+    grid: DataFrame | None,
+    ties: list[str] | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Add ``_previous``: the last ``n`` entries before each row in (time, *order).
 
-    Hot users are looked for in ``source`` when given: the rows before an expensive step.
+    ``grid`` slices the hot users by (time, *ties), with ``ties`` a beginning of ``order``, all of it by default.
     """
     rows = rows.withColumn("_entry", entry)
-    at = F.unix_micros(F.col(time))
-    grid = hot_key_grid((source or rows).select(user, at.alias("_at")), user, "_at", max_rows)
     group = [user]
     if grid is not None:
-        rows = with_slices(rows.withColumn("_at", at), grid, user, "_at").drop("_at")
+        place = _place(time, order if ties is None else ties)
+        rows = with_slices(rows.withColumn("_at", place), grid, user, "_at").drop("_at")
         group = [user, SLICE]
     window = Window.partitionBy(*group).orderBy(time, *order)
     out = rows.withColumn("_previous", F.collect_list("_entry").over(window.rowsBetween(-n, -1)))
@@ -181,7 +229,7 @@ def previous_entries(
         )
         both = F.concat(F.col("_carry"), F.col("_previous"))
         out = (
-            out.join(carry, group, "left")
+            with_carry(out, carry, user)
             .withColumn("_previous", F.when(F.col("_carry").isNull(), F.col("_previous")).otherwise(last_n(both, n)))
             .drop("_carry", "_hot")
         )
@@ -208,12 +256,17 @@ def recent_items(
     share (user, time) the one with the longest list stays. The strings are NULL,
     not empty, when there is no earlier item.
     """
-    # Rows move to their user once; copies go there, and the window stays there.
-    rows = df.select(user, time, item, rating).repartition(user).distinct()
+    grid = hot_users(df, user, time, [item, rating], max_rows)
+    # Without hot users rows move to their user once; copies go there, and the window stays there.
+    rows = df.select(user, time, item, rating)
+    rows = rows.repartition(user).distinct() if grid is None else rows.distinct()
     entry = F.struct(F.col(item).alias("item"), F.unix_seconds(time).alias("at"))
-    listed, group = previous_entries(rows, user, time, [item, rating], entry, n, max_rows, df)
-    longest = Window.partitionBy(*group, time).orderBy(F.size("_previous").desc(), item, rating)
-    kept = listed.withColumn("dedup_rn", F.row_number().over(longest)).filter("dedup_rn = 1")
+    listed, group = previous_entries(rows, user, time, [item, rating], entry, n, grid)
+    kept = listed
+    # A time that is cut has a longest list in each of its slices; the second pass sees only those.
+    for by in (group, [user]) if grid is not None else (group,):
+        longest = Window.partitionBy(*by, time).orderBy(F.size("_previous").desc(), item, rating)
+        kept = kept.withColumn("dedup_rn", F.row_number().over(longest)).filter("dedup_rn = 1")
     items = F.transform("_previous", lambda x: x["item"])
     times = F.transform("_previous", lambda x: x["at"])
     text = lambda a: F.nullif(F.array_join(F.transform(a, lambda x: x.cast("string")), ","), F.lit(""))
@@ -249,7 +302,8 @@ def history_sequences(
     Rows of one time all take the list of the first of them, which is exactly what
     came strictly earlier.
     """
-    listed, group = previous_entries(df, user, time, [item], F.col(item), n, max_rows)
+    grid = hot_users(df, user, time, [], max_rows)  # rows of one time share a list, so they stay together
+    listed, group = previous_entries(df, user, time, [item], F.col(item), n, grid, ties=[])
     tied = Window.partitionBy(*group, time).orderBy(item)
     sequence = F.first("_previous").over(tied)
     out = listed.withColumn("item_sequence", sequence).drop("_previous", SLICE)

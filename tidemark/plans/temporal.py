@@ -35,8 +35,9 @@ def user_window_stats(spark, sf_dir):
 
 
 def click_window_stats(spark, sf_dir):
-    """Sub-second stamps; some values are NaN, some very large: they count while they are in the window."""
-    odd = F.when(F.col("event_id") % 97 == 0, float("nan")).when(F.col("event_id") % 101 == 0, F.col("rating") * 1e12).otherwise(F.col("rating"))
+    """Sub-second stamps; some values are NaN, some very large, some very small: they count while they are in the window."""
+    odd = F.when(F.col("event_id") % 97 == 0, float("nan")).when(F.col("event_id") % 101 == 0, F.col("rating") * 1e19)
+    odd = odd.when(F.col("event_id") % 3 == 0, F.col("rating") * 1e-10).otherwise(F.col("rating"))
     rows = clicks(spark, sf_dir).select("parent_asin", "timestamp", odd.alias("rating"), "user_id")
     stats = t.rolling_stats(
         rows, "parent_asin", "timestamp", "rating",
@@ -45,7 +46,7 @@ def click_window_stats(spark, sf_dir):
     )
     return stats.select(
         "parent_asin", F.unix_micros("timestamp").alias("us"), "cnt_7d", "cnt_1d_now",
-        F.when(F.isnan("avg_7d"), -1.0).when(F.col("avg_7d") < 1e6, F.round("avg_7d", 7)).otherwise(F.round(F.col("avg_7d") / 1e6, 0)).alias("avg_7d"),
+        F.when(F.isnan("avg_7d"), -1.0).when(F.col("avg_7d").isNotNull(), F.format_string("%.8e", "avg_7d").cast("double")).alias("avg_7d"),
     )
 
 
@@ -209,13 +210,15 @@ _ASOF = CLICKS_SQL + """, f AS (SELECT user_id, us, max(rating) AS last_value FR
   j AS (SELECT q.event_id, q.user_id, q.us, f.us AS fus, f.last_value AS v
     FROM q ASOF LEFT JOIN f ON q.user_id = f.user_id AND q.us >= f.us)"""
 
-_EXACT = "(sum(CASE WHEN NOT isnan(rating) THEN rating::DECIMAL(38, 9) END) OVER w7)::DOUBLE / (count(rating) OVER w7)"
-_MEAN = f"CASE WHEN {_EXACT} < 1e6 THEN round({_EXACT}, 7) ELSE round({_EXACT} / 1e6, 0) END"
+# Exact sums: values from 1e9 on in units of 2 ** 10, the others in units of 2 ** -80.
+_LARGE = "(coalesce(sum(CASE WHEN rating >= 1e9 AND NOT isnan(rating) THEN (rating / 1024)::HUGEINT END) OVER w7, 0)::DOUBLE * 1024)"
+_SMALL = "(coalesce(sum(CASE WHEN rating < 1e9 THEN (rating * pow(2, 80))::HUGEINT END) OVER w7, 0)::DOUBLE / pow(2, 80))"
+_MEAN = f"CASE WHEN count(rating) OVER w7 > 0 THEN printf('%.8e', ({_LARGE} + {_SMALL}) / (count(rating) OVER w7))::DOUBLE END"
 
 ORACLE = {
     "item_window_stats": f"WITH {INTERACTIONS_SQL} {_ITEM_STATS}",
     "user_window_stats": f"WITH {INTERACTIONS_SQL} {_USER_STATS}",
-    "click_window_stats": f"""WITH {CLICKS_SQL}, o AS (SELECT *, CASE WHEN event_id % 97 = 0 THEN 'NaN'::DOUBLE WHEN event_id % 101 = 0 THEN rating * 1e12 ELSE rating END AS odd FROM clicks),
+    "click_window_stats": f"""WITH {CLICKS_SQL}, o AS (SELECT *, CASE WHEN event_id % 97 = 0 THEN 'NaN'::DOUBLE WHEN event_id % 101 = 0 THEN rating * 1e19 WHEN event_id % 3 = 0 THEN rating * 1e-10 ELSE rating END AS odd FROM clicks),
   d AS (SELECT DISTINCT parent_asin, us, sec, odd AS rating, user_id FROM o)
 SELECT DISTINCT parent_asin, us,
   count(*) OVER (PARTITION BY parent_asin ORDER BY sec RANGE BETWEEN {7 * DAY} PRECEDING AND 1 PRECEDING) AS cnt_7d,
