@@ -173,7 +173,7 @@ def seen_together(spark, sf_dir):
     held = q.holders(interactions(spark, sf_dir))
     degree = held.groupBy("_item").agg(F.count(F.lit(1)).alias("weight"))
     pairs = items(spark, sf_dir).select("parent_asin", (F.col("parent_asin") + 1).alias("candidate"))
-    return q.seen_together(pairs, held, degree, "parent_asin", "candidate")
+    return q.seen_together(pairs, held, degree, "parent_asin", "candidate", per_bucket=16)
 
 
 RATIO = 2
