@@ -82,6 +82,54 @@ def test_added_spans():
     assert [text[a:b] for k, a, b in secret_scan.secret_spans(text)] == ["fj39dkWQ02mcnZpq71LsYtRb"]
 
 
+KEY = "9fK2xQ7bLm0ZpR4tYv8NcW1d"
+
+
+@pytest.mark.parametrize("text, want", [
+    (f"/sample/{KEY}", [f"/{KEY}"]),
+    (f"example/{KEY}/sample", [f"/{KEY}/"]),
+    (f"{KEY}/placeholder", [f"{KEY}/"]),
+    ("sk_live_aBcDeFgHiJkLmNoPqRsT12", ["_aBcDeFgHiJkLmNoPqRsT12"]),
+    ("qWzRtYpLkJhGfDsAxCvBnMwErTyU", ["qWzRtYpLkJhGfDsAxCvBnMwErTyU"]),
+    (f"sample{KEY}", []),
+    ("/usr/lib/x86_64-linux-gnu/libfoo.so", []),
+    ("getElementsByTagNameAndClassList", []),
+    ("donaudampfschifffahrtsgesellschaft", []),
+    ("MAX_CONNECTIONS_PER_HOST_DEFAULT2", []),
+    ("2024-01-01/some/path/to/file_name_v2", []),
+    ("/".join(["some", "ordinary", "Path"] * 2000), []),
+])
+def test_allow_list_hides_segments_only(text, want):
+    assert [text[a:b] for k, a, b in secret_scan.entropy_spans(text)] == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([KEY, "word", "sample", "ab", "Q7bLm0", "2024", "/", "-", "+", " ", "Word9"]), max_size=12).map("".join))
+def test_candidates_against_a_plain_scan(text):
+    """Every window of an allowed-free stretch, its entropy computed anew."""
+    import math
+    import re
+    from collections import Counter
+
+    def plain(s):
+        return re.fullmatch(r"([A-Z]{1,40}|[A-Za-z]?[a-z]{0,40}|[A-Za-z][a-z]{1,40}([A-Z][a-z]{1,40}){1,8})[0-9]{0,4}", s)
+
+    covered = set()
+    for run in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
+        segments = list(re.finditer(r"[A-Za-z0-9]+", run[0]))
+        if len(run[0]) < 20 or all(plain(s[0]) or secret_scan.SAMPLE.search(s[0]) for s in segments):
+            continue
+        hidden = [s.span() for s in segments if secret_scan.SAMPLE.search(s[0]) or (plain(s[0]) and len(s[0]) >= 4)]
+        stretches = zip([0] + [b for _, b in hidden], [a for a, _ in hidden] + [len(run[0])])
+        for a, b in stretches:
+            part = run[0][a:b]
+            bits = 3.0 if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", part) else 3.6 if re.fullmatch(r"[A-Za-z0-9]+", part) else 3.8
+            for i in range(len(part) - 19):
+                if -sum(n / 20 * math.log2(n / 20) for n in Counter(part[i : i + 20]).values()) >= bits - 1e-9:
+                    covered |= set(range(run.start() + a + i, run.start() + a + i + 20))
+    assert {i for _, a, b in secret_scan.entropy_spans(text) for i in range(a, b)} == covered
+
+
 @pytest.mark.parametrize("find", [pii.find_pii, secret_scan.find_secrets])
 def test_rows_and_masks(spark, find):
     long = prose(random.Random(1), 30_000) + " bob@mail.example 4111111111111111 password=abcdefgh12"

@@ -31,14 +31,18 @@ CLASSES = (
     ("alnum", re.compile(r"[A-Za-z0-9]+"), 3.6),
     ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 3.8),
 )
-#: What looks random but is no secret: words without a digit, numbers, UUIDs, paths and dates of plain words and numbers, samples.
+#: What looks random but is no secret. Whole candidates: numbers and UUIDs, and runs of nothing but plain segments.
 ALLOWED = (
-    re.compile(r"[^0-9]*"),
     re.compile(r"[0-9+/_=-]*"),
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
-    re.compile(r"(?:[A-Za-z]+[0-9]{0,4}|[0-9]{1,4})?(?:[/_=+-]+(?:[A-Za-z]+[0-9]{0,4}|[0-9]{1,4}))*[/_=+-]*"),
-    re.compile(r".*(example|sample|placeholder|xxxx|0123456789|abcdefgh).*", re.IGNORECASE),
 )
+SEGMENT = re.compile(r"[A-Za-z0-9]+")
+#: A plain segment: words of one case or capitalised, of bounded length, with a short number behind them, or a short number.
+PLAIN = re.compile(r"(?:[A-Z]{1,40}|[A-Za-z]?[a-z]{0,40}|[A-Za-z][a-z]{1,40}(?:[A-Z][a-z]{1,40}){1,8})[0-9]{0,4}")
+#: A segment that says that it is a sample.
+SAMPLE = re.compile(r"(?i:example|sample|placeholder|xxxx)|0123456789|abcdefgh|ABCDEFGH")
+#: Beside other segments, only a plain one of so many characters is taken as a word: shorter ones occur in random text.
+LEAST_WORD = 4
 _TERM = [0.0] + [n * math.log2(n) for n in range(1, WINDOW + 1)]
 
 
@@ -79,14 +83,32 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def suspicious(word: str) -> Iterator[tuple[int, int]]:
+    """The parts of a candidate that the allow-list leaves: what stands between its allowed segments.
+
+    A segment is a run of letters and digits. Words and samples hide themselves only, not the key beside them; a
+    candidate of plain segments alone has no such part.
+    """
+    if any(p.fullmatch(word) for p in ALLOWED):
+        return
+    segments = [(m.start(), m.end(), bool(PLAIN.fullmatch(m[0])), bool(SAMPLE.search(m[0]))) for m in SEGMENT.finditer(word)]
+    if all(plain or sample for _, _, plain, sample in segments):
+        return
+    at = 0
+    for start, end, plain, sample in [*segments, (len(word), len(word), True, True)]:
+        if sample or (plain and end - start >= LEAST_WORD):
+            if start - at >= WINDOW:
+                yield at, start
+            at = end
+
+
 def entropy_spans(text: str) -> Iterator[tuple[str, int, int]]:
     for m in CANDIDATE.finditer(text):
-        word = m[0]
-        if any(p.fullmatch(word) for p in ALLOWED):
-            continue
-        bits = next(bits for _, letters, bits in CLASSES if letters.fullmatch(word))
-        for start, end in windows_above(word, bits):
-            yield "entropy", m.start() + start, m.start() + end
+        for left, right in suspicious(m[0]):
+            part = m[0][left:right]
+            bits = next(bits for _, letters, bits in CLASSES if letters.fullmatch(part))
+            for start, end in windows_above(part, bits):
+                yield "entropy", m.start() + left + start, m.start() + left + end
 
 
 def secret_spans(text: str) -> list[tuple[str, int, int]]:
@@ -135,6 +157,7 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """One row per input row: its key, the secret spans (code points, end exclusive) and the masked text.
 
     Null and empty texts have no spans. Keys may be null or repeated; rows are never joined.
-    Other columns are not read, whatever they are called. Whole texts are scanned.
+    Other columns are not read, whatever they are called. Whole texts are scanned, of any length; an empty table gives
+    no rows.
     """
     return spans_of(docs, secret_spans, key, text)
