@@ -50,6 +50,43 @@ def test_filters_and_columns_reach_the_reader(spark):
     assert sorted(r["page_id"].as_py() for p in reader.partitions() for b in reader.read(p) for r in [{"page_id": x} for x in b.column("page_id")]) == [2, 3]
 
 
+def test_headers_come_first(spark):
+    """Records that a filter leaves out, and reads without payloads, inflate no payload."""
+    from pyspark.sql.datasource import EqualTo
+
+    folder, noise = new_folder(spark, "warc"), random.Random(4)
+    bodies = ["".join(noise.choices("abcdefghij", k=200_000)) for _ in range(5)]
+    rows = [(i, "u" * (3000 if i == 2 else 5), b) for i, b in enumerate(bodies)] + [(9, "v", bodies[0])]
+    warc.write_warc(warc.with_revisits(pages(spark, rows)), folder)
+    for wanted, tests, want in ((["page_id"], [], 6), (["page_id", "payload"], [EqualTo(("record_type",), "revisit")], 1)):
+        reader = warc.WarcReader(folder, wanted)
+        assert list(reader.pushFilters(tests)) == []
+        assert sum(b.num_rows for p in reader.partitions() for b in reader.read(p)) == want
+    inflated = [len(begin) for name, _ in warc.listed(folder) for begin, _ in warc.records(folder, name)]
+    assert len(inflated) == 6 and max(inflated) <= 4096 + warc.HEAD_BYTES
+    for name, _ in warc.listed(folder):
+        for begin, whole in warc.records(folder, name):
+            fields, at = warc.headers(begin)
+            if fields["warc-type"] == "response":
+                assert warc.payload_of(whole(), at, fields).decode() in bodies
+    # A cut member raises, a file without an index is read all the same.
+    system, path = store(folder)
+    for name, size in warc.listed(folder):
+        with system.open_input_file(f"{path}/{name}") as file:
+            data = file.read()
+        for cut, expected in ((size, None), (size - 20, ValueError)):
+            other = new_folder(spark, "warc")
+            with warc.create(other, name) as out:
+                out.write(data[:cut])
+            if expected is None:
+                assert [whole() for _, whole in warc.records(other, name)] == [whole() for _, whole in warc.records(folder, name)]
+            with system.open_input_file(f"{path}/{name}.idx") as index, warc.create(other, name + ".idx") as out:
+                out.write(index.read())
+            if expected:
+                with pytest.raises(expected):
+                    [whole() for _, whole in warc.records(other, name)]
+
+
 def test_appends_keep_what_is_there(spark):
     folder = new_folder(spark, "warc")
     for page in (1, 2):

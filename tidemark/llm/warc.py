@@ -1,18 +1,21 @@
 """WARC archives as a PySpark data source.
 
-A file holds one gzip member per record. The writer names a file after its task's attempt, and only files that the
-job committed get into the folder's list, so tasks that ran twice leave no records behind. The reader plans one
-partition per listed file or group of small files, tests record type and headers before it touches a payload, and
-decodes payloads only where the column is asked for.
+A file holds one gzip member per record, and an index beside it tells where each member ends. The writer names a file
+after its task's attempt, and only files that the job committed get into the folder's list, so tasks that ran twice
+leave no records behind. The reader plans one partition per listed file or group of small files. It inflates a member
+up to the blank line behind its headers, tests record type and headers, and goes on to the next member, or inflates the
+rest where the payload is asked for.
 """
 
 from __future__ import annotations
 
 import base64
+import io
 import json
 import uuid
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
 
@@ -30,6 +33,8 @@ LIST = "_records.json"
 #: A file is closed beyond so many bytes; small files are read together up to as many.
 FILE_BYTES = 128 << 20
 LEVEL = 5
+#: A member is inflated in steps of so many bytes until its headers are there; files are read in blocks of so many.
+HEAD_BYTES, READ_BYTES = 1024, 256 << 10
 #: Fixed values of the format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
@@ -59,8 +64,33 @@ def record_bytes(page_id, record_type, url, digest, size, refers_to, payload) ->
     return "\r\n".join(lines).encode() + body + b"\r\n\r\n"
 
 
+class Member:
+    """One record of a file: ``head`` holds its headers, ``whole`` inflates the rest as well."""
+
+    def __init__(self, file, start: int, stop: int):
+        self.file, self.at, self.stop = file, start, stop
+        self.inflate, self.head = zlib.decompressobj(31), b""
+        while b"\r\n\r\n" not in self.head:
+            data = self.inflate.unconsumed_tail or self._read(HEAD_BYTES)
+            if not data:
+                raise ValueError("a record is cut off")
+            self.head += self.inflate.decompress(data, HEAD_BYTES)
+
+    def _read(self, most: int) -> bytes:
+        self.file.seek(self.at)
+        data = self.file.read(min(most, self.stop - self.at))
+        self.at += len(data)
+        return data
+
+    def whole(self) -> bytes:
+        record = self.head + self.inflate.decompress(self.inflate.unconsumed_tail + self._read(self.stop))
+        if not self.inflate.eof:
+            raise ValueError("a record is cut off")
+        return record
+
+
 def members(file, chunk: int = 1 << 20) -> Iterator[bytes]:
-    """The gzip members of a file, one record each."""
+    """All gzip members of a file without an index, each inflated whole."""
     rest, inflate, parts = b"", zlib.decompressobj(31), []
     while True:
         data = rest or file.read(chunk)
@@ -75,6 +105,27 @@ def members(file, chunk: int = 1 << 20) -> Iterator[bytes]:
         raise ValueError("the last record is cut off")
 
 
+def records(folder: str, name: str) -> Iterator[tuple[bytes, Callable[[], bytes]]]:
+    """Of each record of a file, in order, its beginning with all headers, and a function that inflates it whole.
+
+    Files that have no index, from other writers, are inflated whole.
+    """
+    system, path = store(folder)
+    indexed = system.get_file_info(f"{path}/{name}.idx").type != fs.FileType.NotFound
+    with open_file(folder, name) as raw, io.BufferedReader(raw, READ_BYTES) as file:
+        if not indexed:
+            for record in members(file):
+                yield record, lambda record=record: record
+            return
+        with open_file(folder, name + ".idx") as index:
+            ends = array("Q", index.read())
+        start = 0
+        for stop in ends:
+            member = Member(file, start, stop)
+            yield member.head, member.whole
+            start = stop
+
+
 def headers(record: bytes) -> tuple[dict[str, str], int]:
     """Header fields by lower-case name, and where the block begins."""
     end = record.index(b"\r\n\r\n")
@@ -110,22 +161,28 @@ class WarcWriter(DataSourceArrowWriter):
         self.folder, self.overwrite = folder, overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Files:
-        written, out, size, name = [], None, 0, ""
+        written, out, name, ends = [], None, "", array("Q")
+
+        def close():
+            out.close()
+            with create(self.folder, name + ".idx") as index:
+                index.write(ends.tobytes())
+            written.append((name, ends[-1]))
+
         for batch in iterator:
             for row in zip(*(batch.column(n).to_pylist() if n != "payload" else batch.column(n) for n in SMALL.names)):
                 if out is None:
-                    name, size = f"pages-{uuid.uuid4().hex}.warc.gz", 0
+                    name, ends = f"pages-{uuid.uuid4().hex}.warc.gz", array("Q")
                     out = create(self.folder, name)
                 deflate = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
                 data = deflate.compress(record_bytes(*row[:-1], row[-1].as_py() or b"")) + deflate.flush()
                 out.write(data)
-                size += len(data)
-                if size >= FILE_BYTES:
-                    out.close()
-                    out = written.append((name, size))
+                ends.append((ends[-1] if ends else 0) + len(data))
+                if ends[-1] >= FILE_BYTES:
+                    close()
+                    out = None
         if out is not None:
-            out.close()
-            written.append((name, size))
+            close()
         return Files(written)
 
     def commit(self, messages: list[Files | None]) -> None:
@@ -138,6 +195,7 @@ class WarcWriter(DataSourceArrowWriter):
         for message in messages:
             for name, _ in message.written if message else ():
                 system.delete_file(f"{path}/{name}")
+                system.delete_file(f"{path}/{name}.idx")
 
 
 @dataclass
@@ -186,23 +244,22 @@ class WarcReader(DataSourceReader):
         schema = pa.schema([f for f in SMALL if f.name in self.wanted])
         rows, held = [], 0
         for name in partition.names:
-            with open_file(self.folder, name) as file:
-                for record in members(file):
-                    fields, at = headers(record)
-                    head = {
-                        "page_id": page_of(fields["warc-record-id"]), "record_type": fields["warc-type"], "url": fields.get("warc-target-uri"),
-                        "payload_digest": base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex(),
-                        "payload_bytes": int(fields["warc-payload-length"]), "refers_to": page_of(fields.get("warc-refers-to")),
-                    }
-                    if not self.passes(head):
-                        continue
-                    if "payload" in self.wanted:
-                        head["payload"] = payload_of(record, at, fields) if fields["warc-type"] == "response" else None
-                        held += len(head["payload"] or b"")
-                    rows.append(head)
-                    if held > 8 << 20 or len(rows) >= 5_000:
-                        yield pa.RecordBatch.from_pylist(rows, schema)
-                        rows, held = [], 0
+            for begin, whole in records(self.folder, name):
+                fields, at = headers(begin)
+                head = {
+                    "page_id": page_of(fields["warc-record-id"]), "record_type": fields["warc-type"], "url": fields.get("warc-target-uri"),
+                    "payload_digest": base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex(),
+                    "payload_bytes": int(fields["warc-payload-length"]), "refers_to": page_of(fields.get("warc-refers-to")),
+                }
+                if not self.passes(head):
+                    continue
+                if "payload" in self.wanted:
+                    head["payload"] = payload_of(whole(), at, fields) if fields["warc-type"] == "response" else None
+                    held += len(head["payload"] or b"")
+                rows.append(head)
+                if held > 8 << 20 or len(rows) >= 5_000:
+                    yield pa.RecordBatch.from_pylist(rows, schema)
+                    rows, held = [], 0
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema)
 
@@ -269,13 +326,14 @@ def read_warc(spark: SparkSession, folder: str, payload: bool = True) -> DataFra
 def archived_pages(pages: DataFrame) -> DataFrame:
     """Archive ``pages`` in a new folder of the shared folder and read the records back.
 
-    Length and digest of responses are taken anew from the payloads read; those of revisits from their headers.
+    Length and digest of responses are taken anew from the payloads read; those of revisits from their headers. One
+    read serves both. An empty table gives an empty archive and no rows; payloads of any length are records of one member.
     """
     spark = pages.sparkSession
     folder = new_folder(spark, "warc")
     write_warc(with_revisits(pages), folder)
-    responses = read_warc(spark, folder).where("record_type = 'response'")
-    revisits = read_warc(spark, folder, payload=False).where("record_type = 'revisit'")
-    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
-    fresh = responses.withColumns({"payload_bytes": F.octet_length("payload").cast("bigint"), "payload_digest": F.sha1("payload")})
-    return fresh.select(*columns).unionByName(revisits.select(*columns))
+    archive, fresh = read_warc(spark, folder), F.col("record_type") == "response"
+    return archive.select(
+        "page_id", F.when(fresh, F.octet_length("payload").cast("bigint")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(fresh, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"), "record_type", "refers_to", "url",
+    )
