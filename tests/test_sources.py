@@ -67,6 +67,83 @@ def test_compaction(spark, tmp_path):
     assert all(r.files == 1 for r in per) and sum(r.n < 25 for r in per) <= 1
 
 
+def test_compaction_cuts_large_files_into_blocks(spark, tmp_path):
+    rows = spark.range(1000).select("id", F.lit("2025-01").alias("year_month"))
+    rows.coalesce(1).write.partitionBy("year_month").parquet(str(tmp_path / "in"))
+    # Blocks this small would be put together again.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        compaction.compact(spark, str(tmp_path / "in"), str(tmp_path / "out"), "m", 25, 10)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r.id for r in out.collect()) == list(range(1000))
+    assert [r.output for r in out.select("output").distinct().collect()] == ["m_2025-01_2025-01_id1"]
+    assert out.select("_metadata.file_path").distinct().count() > 4
+
+
+def test_snapshots_of_part_files_and_commit_lists(spark, tmp_path):
+    rows = spark.range(40).select("id", F.expr("date '2025-01-01' + cast(id div 10 as int)").alias("day"))
+    snapshots.write_dated(rows, str(tmp_path / "dated"), "r", F.col("day"), rows_per_file=3)
+    files = snapshots.manifest(spark, str(tmp_path / "dated"))
+    assert files.count() == 4
+    assert sorted(r.id for r in snapshots.read_newest(spark, str(tmp_path / "dated"), 2).collect()) == list(range(20, 40))
+
+
+def test_captured_snapshots_survive_a_failed_batch(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    place = str(tmp_path)
+    line = '{"user_id":"%s","item_id":"i","rating":5,"timestamp":%d}'
+
+    def run(**options):
+        cap.capture_snapshots(cap.folder_messages(spark, f"{place}/in"), f"{place}/out", f"{place}/bad", f"{place}/cp", by_event_time=True, **options)
+
+    def crash(batch_id):
+        raise RuntimeError("stopped")
+
+    (tmp_path / "in" / "a.txt").write_text(line % ("a", 1_600_000_000) + "\n{broken")
+    run()
+    (tmp_path / "in" / "b.txt").write_text(line % ("b", 1_600_000_000))
+    with pytest.raises(Exception, match="stopped"):
+        run(before_commit=crash)
+    # What the failed batch wrote does not count.
+    assert [r.user_id for r in snapshots.read_newest(spark, f"{place}/out", 5).collect()] == ["a"]
+    run()
+    run()
+    (tmp_path / "in" / "c.txt").write_text("{broken too")
+    run()
+    files = sorted(r.path.rpartition("/")[2] for r in snapshots.manifest(spark, f"{place}/out").collect())
+    assert files == [f"events_b{b:09d}_upto_2020_09_13_122640.parquet" for b in (0, 1)]
+    assert [r.user_id for r in snapshots.read_newest(spark, f"{place}/out", 1).collect()] == ["b"]
+    assert sorted(r.user_id for r in snapshots.read_newest(spark, f"{place}/out", 5).collect()) == ["a", "b"]
+    assert sorted(r.value for r in spark.read.parquet(f"{place}/bad").collect()) == ["{broken", "{broken too"]
+    # A batch that comes again after its commit changes nothing.
+    again = cap.parsed(spark.createDataFrame([(line % ("z", 1),)], "value string"))
+    cap.snapshot_sink(f"{place}/out", f"{place}/bad", by_event_time=True)(again, 1)
+    assert snapshots.manifest(spark, f"{place}/out").count() == 2
+
+
+def test_store_merges_runs_and_replaces_one(spark, tmp_path):
+    at = F.timestamp_seconds(F.lit(1_600_000_000) + F.col("id") * 86_400)
+    rows = spark.range(40).select((F.col("id") % 7).cast("string").alias("parent_asin"), at.alias("timestamp"), "id")
+    for f in ITEM_VIEW.fields:
+        rows = rows.withColumn(f, F.col("id"))
+    store, opened = str(tmp_path / "store"), []
+    untils = [str(r.t) for r in rows.filter("id % 2 = 1").select(F.col("timestamp").cast("string").alias("t")).orderBy("t").collect()]
+    for until in untils:
+        tables.materialise(spark, rows, ITEM_VIEW, store, until)
+        opened.append(len(tables.covering(tables._log(spark, store))))
+    assert max(opened) <= 2 * (tables.FAN - 1) + 1 and len(untils) == 20
+    got = {r.parent_asin: r[ITEM_VIEW.fields[0]] for r in tables.read_store(spark, ITEM_VIEW, store).collect()}
+    assert got == {str(i % 7): i for i in range(33, 40)}
+    changed = rows.withColumn(ITEM_VIEW.fields[0], F.col("id") + 1000)
+    tables.materialise(spark, changed, ITEM_VIEW, store, untils[-2])
+    got = {r.parent_asin: r[ITEM_VIEW.fields[0]] for r in tables.read_store(spark, ITEM_VIEW, store).collect()}
+    assert got == {str(i % 7): i + 1000 * (i in (36, 37)) for i in range(33, 40)}
+    with pytest.raises(FileNotFoundError):
+        tables.read_store(spark, ITEM_VIEW, str(tmp_path / "none"))
+
+
 def test_warehouse_rows_and_tables(spark, tmp_path):
     train = spark.createDataFrame([("a", 1000, ["x"])], "user_id string, timestamp bigint, images array<string>")
     val = spark.createDataFrame([("b", 2000, 1)], "user_id string, timestamp bigint, extra int")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -12,12 +13,15 @@ from tidemark.operators import sampling as s
 from tidemark.operators import temporal as t
 from tidemark.operators import transforms as x
 from tidemark.operators.ordering import row_numbers
-from tidemark.plans.tables import DISTINCT_SQL, INTERACTIONS_SQL, ITEMS_SQL, distinct_interactions, interactions, items, table
+from tidemark.plans.tables import CLICKS_SQL, DISTINCT_SQL, INTERACTIONS_SQL, ITEMS_SQL, distinct_interactions, interactions, items, table
 from tidemark.plans.temporal import _ITEM_STATS
 from tidemark.schemas import CORRUPT, ITEM_VIEW
-from tidemark.session import shared_dir
-from tidemark.sources import reviews, snapshots, tables
+from tidemark.session import materialize, shared_dir
+from tidemark.sources import compaction, reviews, snapshots, tables
+from tidemark.streaming import capture as cap
 
+#: Row threshold and rows a task of ``compaction_rewrite``, small enough that both matter on the given tables.
+COMPACT_ROWS, COMPACT_BLOCK = 5000, 2000
 
 def _place(spark, name):
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -38,24 +42,73 @@ def review_scan(spark, sf_dir):
 
 
 def snapshot_scan(spark, sf_dir):
-    """Orders of 1998 as one dated file a month; the five newest files are read."""
-    orders = table(spark, sf_dir, "orders").filter("o_orderdate >= '1998-01-01'").select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy_MM").alias("month"))
+    """Orders as one dated snapshot a month; the five newest are read."""
+    month = F.trunc("o_orderdate", "month")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy_MM").alias("month"), month.alias("day"))
     place = _place(spark, "snapshots")
+    snapshots.write_dated(orders, place, "orders", F.col("day"))
+    return snapshots.read_newest(spark, place, 5).drop("day")
 
-    def write(group):
-        import pyarrow as pa
-        import pyarrow.parquet as pq
-        from pyarrow import fs
 
-        name = f"orders_upto_{group.column('month')[0].as_py()}_01.parquet"
-        system, path = fs.FileSystem.from_uri(place)
-        system.create_dir(path, recursive=True)
-        # A month is one small file here; a run repeated writes the same file again.
-        pq.write_table(group, f"{path}/{name}", filesystem=system)
-        return pa.table({"name": [name]})
+def compaction_rewrite(spark, sf_dir):
+    """Interactions in many small files by month, merged: every row, and whether its output is named for it and filled."""
+    rows = interactions(spark, sf_dir).withColumn("timestamp", F.unix_millis("timestamp"))
+    place = _place(spark, "small")
+    reviews.with_month(rows).hint("rebalance", "year_month").write.option("maxRecordsPerFile", 500).partitionBy("year_month").parquet(f"{place}/in")
+    compaction.compact(spark, f"{place}/in", f"{place}/out", "merged", COMPACT_ROWS, COMPACT_BLOCK)
+    merged = spark.read.parquet(f"{place}/out")
+    part = lambda i: F.split("output", "_")[i]
+    sizes = merged.groupBy("output").agg(F.count(F.lit(1)).alias("n"))
+    last = sizes.agg(F.max(F.substring(part(3), 3, 20).cast("bigint"))).scalar()
+    filled = (F.col("n") >= COMPACT_ROWS) | (F.substring(part(3), 3, 20).cast("bigint") == last)
+    month = F.col("year_month").cast("string")
+    return merged.join(sizes.select("output", filled.alias("is_filled")), "output").select(
+        "user_id", "parent_asin", "rating", F.unix_seconds("ts").alias("sec"), month.alias("month"),
+        month.between(part(1), part(2)).alias("is_named"), "is_filled",
+    )
+
 
-    orders.groupBy("month").applyInArrow(write, "name string").write.format("noop").mode("overwrite").save()
-    return snapshots.read_newest(spark, place, 5)
+def _crash(batch_id):
+    if batch_id == 2:
+        raise RuntimeError("stopped before the commit")
+
+
+def stream_snapshots(spark, sf_dir):
+    """Events that arrive in four spans of time, captured as dated snapshots; the third capture stops before its commit.
+
+    The restart writes the batch again. The two newest snapshots are read, each row once.
+    """
+    rows = table(spark, sf_dir, "events").withColumn("sec", F.unix_seconds(F.col("ts").cast("timestamp")))
+    ends = rows.agg(F.min("sec").alias("lo"), F.max("sec").alias("hi")).first()
+    span = F.floor((F.col("sec") - ends["lo"]) * 4 / (ends["hi"] - ends["lo"] + 1))
+    body = F.to_json(F.struct(
+        F.col("user_id").cast("string").alias("user_id"), F.get_json_object("props", "$.k").alias("item_id"),
+        F.col("value").alias("rating"), F.col("sec").alias("timestamp"),
+    ))
+    place = _place(spark, "upto")
+    for no in range(4):
+        rows.filter(span == no).select(body.alias("value")).write.mode("append").text(f"{place}/in")
+        for stop in (_crash, None) if no == 2 else (None,):
+            try:
+                cap.capture_snapshots(
+                    cap.folder_messages(spark, f"{place}/in"), f"{place}/good", f"{place}/bad", f"{place}/checkpoint",
+                    by_event_time=True, before_commit=stop,
+                )
+            except StreamingQueryException:
+                if stop is None:
+                    raise
+    newest = snapshots.read_newest(spark, f"{place}/good", 2)
+    return newest.select("user_id", "parent_asin", "rating", F.unix_seconds("timestamp").alias("sec"))
+
+
+def materialised_runs(spark, sf_dir):
+    """Item features brought into a store year by year, one year twice; runs are merged, the newest rows read."""
+    stats = materialize(t.item_window_stats(interactions(spark, sf_dir)))
+    place = _place(spark, "runs")
+    for year in (1993, 1994, 1995, 1996, 1997, 1995, 1998, 2030):
+        tables.materialise(spark, stats, ITEM_VIEW, place, f"{year}-01-01 00:00:00")
+    newest = tables.read_store(spark, ITEM_VIEW, place)
+    return newest.select("parent_asin", F.unix_seconds("timestamp").alias("sec"), "parent_asin_rating_cnt_365d", "parent_asin_rating_cnt_7d")
 
 
 def appended_table(spark, sf_dir):
@@ -123,7 +176,7 @@ def tagged_item_vectors(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        review_scan, snapshot_scan, appended_table, vector_collection, month_of_file, known_keys, user_time_order,
+        review_scan, snapshot_scan, compaction_rewrite, stream_snapshots, materialised_runs, appended_table, vector_collection, month_of_file, known_keys, user_time_order,
         sampled_count, tagged_item_vectors,
     )
 }
@@ -133,8 +186,14 @@ ORACLE = {
     "review_scan": f"""WITH {INTERACTIONS_SQL}, r AS (SELECT *, (sec // 86400) % 13 = 0 AS cut FROM interactions)
 SELECT CASE WHEN NOT cut THEN 'u' || user_id END AS user_id, CASE WHEN NOT cut THEN parent_asin::VARCHAR END AS parent_asin,
   CASE WHEN NOT cut THEN rating END AS rating, CASE WHEN NOT cut THEN sec END AS sec, CASE WHEN cut THEN substr({_LINE}, 1, 20) END AS bad FROM r""",
-    "snapshot_scan": """WITH m AS (SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y_%m') AS month FROM orders WHERE o_orderdate >= '1998-01-01')
+    "snapshot_scan": """WITH m AS (SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y_%m') AS month FROM orders)
 SELECT * FROM m WHERE month IN (SELECT DISTINCT month FROM m ORDER BY month DESC LIMIT 5)""",
+    "compaction_rewrite": f"""WITH {INTERACTIONS_SQL} SELECT user_id, parent_asin, rating, sec, strftime(ts, '%Y-%m') AS month, true AS is_named, true AS is_filled FROM interactions""",
+    "stream_snapshots": f"""WITH {CLICKS_SQL}, e AS (SELECT min(sec) AS lo, max(sec) AS hi FROM clicks), s AS (SELECT clicks.*, (sec - lo) * 4 // (hi - lo + 1) AS span FROM clicks, e)
+SELECT user_id::VARCHAR AS user_id, parent_asin::VARCHAR AS parent_asin, rating, sec FROM s WHERE span IN (SELECT DISTINCT span FROM s ORDER BY span DESC LIMIT 2)""",
+    "materialised_runs": f"""WITH {INTERACTIONS_SQL}, stats AS ({_ITEM_STATS})
+SELECT parent_asin, sec, parent_asin_rating_cnt_365d, parent_asin_rating_cnt_7d FROM stats
+QUALIFY row_number() OVER (PARTITION BY parent_asin ORDER BY sec DESC) = 1""",
     "appended_table": f"WITH {INTERACTIONS_SQL}, stats AS ({_ITEM_STATS}) SELECT parent_asin, sec, parent_asin_rating_cnt_365d, parent_asin_rating_cnt_7d FROM stats",
     "vector_collection": """WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e, sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n FROM embeddings)
 SELECT id, unnest(range(len(e))) AS slot, round(unnest(list_transform(e, lambda x: (x / n)::FLOAT))::DOUBLE, 5) AS value FROM v""",

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import month_of_path
+from tidemark.session import materialize
 
 MIN_ROWS = 100_000
+#: Rows that one task writes of an output.
+BLOCK_ROWS = 1_000_000
+#: File lists up to this many rows are broadcast.
+MAX_LISTED = 100_000
 
 
 def file_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,10 +59,22 @@ def bin_names(binned: DataFrame, prefix: str) -> DataFrame:
     return spans.select("bin", name.alias("output"), "n_rows")
 
 
-def compact(spark: SparkSession, folder: str, out: str, prefix: str = "merged", min_rows: int = MIN_ROWS) -> None:
-    """Rewrite ``folder`` with one output folder per bin."""
-    binned = bins(file_counts(spark, folder), min_rows)
-    named = binned.join(bin_names(binned, prefix), "bin").select("name", "output")
-    rows = spark.read.parquet(folder).withColumn("name", F.col("_metadata.file_path"))
-    merged = rows.join(named, "name").drop("name")
-    merged.repartition("output").write.mode("overwrite").partitionBy("output").parquet(out)
+def compact(
+    spark: SparkSession, folder: str, out: str, prefix: str = "merged", min_rows: int = MIN_ROWS, block_rows: int = BLOCK_ROWS
+) -> None:
+    """Rewrite ``folder`` with one output folder per bin.
+
+    A row's place in its bin is its file's place there plus its index in the file. Bins are cut by place into blocks
+    of ``block_rows``, the unit that is shuffled and written: neither a large file nor a bin is one task's work.
+    """
+    binned = materialize(bins(file_counts(spark, folder), min_rows))
+    before = Window.partitionBy("bin").orderBy("name").rowsBetween(Window.unboundedPreceding, -1)
+    placed = binned.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    named = placed.join(bin_names(binned, prefix), "bin").select(F.col("name").alias("_file"), "output", "_before")
+    if binned.count() <= MAX_LISTED:
+        named = F.broadcast(named)
+    read = spark.read.parquet(folder)
+    rows = read.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    block = F.expr(f"(_before + _index) div {block_rows}")
+    merged = rows.join(named, "_file").withColumn("_block", block).select(*read.columns, "output", "_block")
+    merged.repartition("output", "_block").drop("_block").write.mode("overwrite").partitionBy("output").parquet(out)

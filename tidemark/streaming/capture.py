@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schemas import CORRUPT, EVENT_SCHEMA
+from tidemark.sources import commits
+from tidemark.sources.snapshots import COMMITS
 
 
 def kafka_messages(spark: SparkSession, servers: str, topic: str) -> DataFrame:
@@ -56,7 +61,7 @@ def bad_events(events: DataFrame, as_of: int | None = None) -> DataFrame:
 def capture(messages: DataFrame, out: str, bad_out: str, checkpoints: str, as_of: int | None = None) -> None:
     """Read what is available now, each message exactly once over all runs.
 
-    Two queries with checkpoints of their own write good events by capture date and
+    Two queries with checkpoints of their own write good events by event date and
     bad messages as they came.
     """
     events = parsed(messages)
@@ -86,3 +91,52 @@ def capture_to_table(messages: DataFrame, table: str, checkpoint: str, as_of: in
         .toTable(table)
     )
     query.awaitTermination()
+
+
+def snapshot_sink(
+    out: str, bad_out: str, prefix: str = "events", as_of: int | None = None, by_event_time: bool = False,
+    before_commit: Callable[[int], None] | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes each batch once as a dated snapshot, bad messages beside.
+
+    A batch becomes the folder ``{prefix}_b{id}_upto_YYYY_MM_DD_HHMMSS.parquet``, named by the time of capture or by
+    the newest event in it. It counts from the entry in the commit list on: a batch that is tried again finds its
+    entry and does nothing, or removes what the failed attempt left and writes anew. A batch without good events
+    has an entry but no snapshot. ``out`` belongs to one checkpoint, as batch ids do.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        name = f"{batch_id:09d}"
+        if commits.has(f"{out}/{COMMITS}", name):
+            return
+        commits.remove_folders(out, f"{prefix}_b{name}_")
+        held = batch.persist()
+        try:
+            good = good_events(held, as_of)
+            sums = good.agg(F.count(F.lit(1)).alias("n"), F.max("timestamp").alias("t")).select("n", F.unix_seconds("t").alias("t")).first()
+            path = None
+            if sums["n"]:
+                seconds = sums["t"] if by_event_time else datetime.now(timezone.utc).timestamp()
+                stamp = datetime.fromtimestamp(seconds, timezone.utc).strftime("%Y_%m_%d_%H%M%S")
+                path = f"{prefix}_b{name}_upto_{stamp}.parquet"
+                good.write.mode("overwrite").parquet(f"{out}/{path}")
+            bad_events(held, as_of).write.mode("overwrite").parquet(f"{bad_out}/batch={batch_id}")
+        finally:
+            held.unpersist()
+        if before_commit:
+            before_commit(batch_id)
+        commits.put(f"{out}/{COMMITS}", name, {"batch": batch_id, "path": path, "n_rows": sums["n"]})
+
+    return write
+
+
+def capture_snapshots(messages: DataFrame, out: str, bad_out: str, checkpoint: str, **options) -> None:
+    """Read what is available now into dated snapshots, which ``snapshots.read_newest`` then finds."""
+    query = (
+        parsed(messages)
+        .writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(snapshot_sink(out, bad_out, **options))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
