@@ -172,3 +172,16 @@ def test_bursts_and_null_keys_change_nothing(spark):
     features = rows.groupBy("user_id", "timestamp").agg(F.count("*").alias("n"))
     plain, split = (sorted(map(str, as_of_join(rows, features, "user_id", "timestamp", ["n"], max_rows=m).collect())) for m in (10**6, 20))
     assert plain == split
+
+
+def test_windows_run_in_tasks_of_bounded_size(spark, monkeypatch):
+    from tidemark.operators import slices, temporal
+    from tidemark.operators.asof import as_of_join
+
+    monkeypatch.setattr(slices, "TASK_ROWS", 20)
+    rows = spark.range(800).selectExpr("id % 400 as user_id", "id % 7 as parent_asin", "1.0D as rating", "timestamp_seconds(id * 1000) as timestamp")
+    stats = temporal.user_window_stats(rows)
+    made = [stats, temporal.recent_items(rows), as_of_join(rows, stats, "user_id", "timestamp", ["user_rating_cnt_90d"])]
+    for out in made:
+        tasks = out.groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.max("count"), F.sum("count")).first()
+        assert tasks[0] > 20 and tasks[1] <= 80 and tasks[2] == 800
