@@ -34,7 +34,8 @@ def category_counts(spark, sf_dir):
 
 def rating_stats_scaled(spark, sf_dir):
     """Newest statistics of each item, standardised."""
-    latest = t.latest_per_key(t.item_window_stats(interactions(spark, sf_dir)), "parent_asin", "timestamp")
+    # Read twice, for the scale and for the rows: one row an item.
+    latest = materialize(t.latest_per_key(t.item_window_stats(interactions(spark, sf_dir)), "parent_asin", "timestamp"))
     scaled = x.standardised(latest, STATS)
     return scaled.select("parent_asin", *[F.round(s, 5).alias(s) for s in STATS])
 
