@@ -127,3 +127,22 @@ def test_rows_without_time_come_first(spark):
         train, val = s.chronological_split(df, "timestamp", ["user_id"], ratio)
         assert {int(r.user_id[1:]) for r in train.collect()} == want
         assert train.count() + val.count() == 10
+
+
+def test_k_core_writes_the_pairs_again_only_when_some_go(spark, monkeypatch):
+    from tidemark.operators import sampling
+
+    written = []
+
+    def spy(df, *args, **kwargs):
+        out = materialize(df, *args, **kwargs)
+        if "_n" in out.columns:
+            written.append(out.count())
+        return out
+
+    materialize = sampling.materialize
+    monkeypatch.setattr(sampling, "materialize", spy)
+    rows = spark.range(100).selectExpr("id % 10 as user_id", "id div 10 as parent_asin")
+    core = sampling.k_core(rows, min_user=10, min_item=10)
+    assert core.converged and core.rounds == 1 and core.rows.count() == 100
+    assert sum(written) == 100

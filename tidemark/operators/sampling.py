@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import row_numbers
-from tidemark.session import materialize
+from tidemark.session import materialize, release
 
 
 @dataclass(frozen=True)
@@ -33,32 +33,44 @@ def k_core(
     Runs until nothing more goes, or at most ``max_rounds`` rounds where given;
     ``converged`` then tells whether that was enough.
 
-    The rounds run over distinct (user, item) pairs with a count, written to the
-    shared folder after each one; the full rows are read once at the end. Only the
-    keys below a threshold are joined, and those are by definition never hot.
-    Counts are interactions. Rows with a NULL key never match and stay.
+    The rounds run over distinct (user, item) pairs with a count. Totals per user and per item are made once; a
+    round reads the pairs of the keys that go, takes them off the other side's totals, and writes the pairs that stay.
+    The keys that go are a table of known size, so few of them are broadcast and the pairs are not shuffled. The full
+    rows are read once at the end. Counts are interactions. Rows with a NULL key never match and stay.
     """
-    pairs = df.groupBy(user, item).agg(F.count(F.lit(1)).alias("_n"))
-    pairs = materialize(pairs)
-    left = pairs.count()
-    rounds, converged = 0, left == 0
-    gone_users = gone_items = None
+    pairs = materialize(df.groupBy(user, item).agg(F.count(F.lit(1)).alias("_n")))
+    users, items = (materialize(pairs.groupBy(key).agg(F.sum("_n").alias("_t"))) for key in (user, item))
+    rounds, converged = 0, pairs.isEmpty()
     while not converged and (max_rounds is None or rounds < max_rounds):
-        few_users = pairs.groupBy(user).agg(F.sum("_n").alias("_t")).filter(F.col("_t") < min_user).select(user)
+        few_users = _below(users, user, min_user)
+        gone_users = materialize(pairs.join(few_users, user, "left_semi"))
+        items = _less(items, gone_users, item)
+        few_items = _below(items, item, min_item)
         after_users = pairs.join(few_users, user, "left_anti")
-        few_items = after_users.groupBy(item).agg(F.sum("_n").alias("_t")).filter(F.col("_t") < min_item).select(item)
-        pairs = materialize(after_users.join(few_items, item, "left_anti"))
-        now = pairs.count()
-        converged, left, rounds = now == left, now, rounds + 1
+        gone_items = materialize(after_users.join(few_items, item, "left_semi"))
+        converged, rounds = gone_users.isEmpty() and gone_items.isEmpty(), rounds + 1
+        if not converged:
+            users = _less(users.join(few_users, user, "left_anti"), gone_items, user)
+            items = materialize(items.join(few_items, item, "left_anti"))
+            earlier, pairs = pairs, materialize(after_users.join(few_items, item, "left_anti"))
+            release(earlier)
     # What is left is exactly the pairs between surviving users and items.
     rows = df
-    for key in (user, item):
-        rows = rows.join(_with_null(pairs, key), df[key].eqNullSafe(F.col("_kept")), "left_semi")
+    for key, kept in ((user, users), (item, items)):
+        rows = rows.join(kept.select(F.col(key).alias("_kept")), df[key].eqNullSafe(F.col("_kept")), "left_semi")
     return CoreSample(rows, rounds, converged)
 
 
-def _with_null(pairs: DataFrame, key: str) -> DataFrame:
-    return pairs.select(F.col(key).alias("_kept")).distinct()
+def _below(totals: DataFrame, key: str, least: int) -> DataFrame:
+    return materialize(totals.filter((F.col("_t") < least) & F.col(key).isNotNull()).select(key))
+
+
+def _less(totals: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``totals`` less the pairs that are gone, without the keys that have none left."""
+    lost = gone.groupBy(F.col(key).alias("_key")).agg(F.sum("_n").alias("_lost"))
+    left = totals.join(lost, F.col(key).eqNullSafe(F.col("_key")), "left")
+    left = left.select(key, (F.col("_t") - F.coalesce("_lost", F.lit(0))).alias("_t"))
+    return materialize(left.filter("_t > 0"))
 
 
 def chronological_split(
