@@ -4,6 +4,9 @@ from collections import Counter
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import FMClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
@@ -119,6 +122,18 @@ def test_ranker_learns_an_easy_rule(spark):
         assert high > scored.filter("label = 0").agg(F.max("score")).first()[0]
 
 
+def test_models_score_after_the_session_has_observed_a_query(spark):
+    seen = Observation("seen")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    rows = spark.range(40).select((F.col("id") % 2).cast("int").alias("label"), (F.col("id") % 2).cast("double").alias("f"))
+    assert m.rank_scores(m.fit_ranker(rows, ["f"]), rows).filter("score BETWEEN 0 AND 1").count() == 40
+    machine = FMClassifier(featuresCol="ranker_input", labelCol="label", maxIter=2, seed=1)
+    ready = VectorAssembler(inputCols=["f"], outputCol="ranker_input").transform(rows)
+    scored = m.without_summary(machine.fit(ready)).transform(ready)
+    assert scored.select(F.sum(vector_to_array("probability")[1])).first()[0] > 0
+
+
 def test_item_embeddings_cover_all_items(spark):
     log = spark.range(200).select(
         (F.col("id") % 20).cast("string").alias("user_id"), (F.col("id") * 7 % 13).cast("string").alias("parent_asin"),
