@@ -281,3 +281,17 @@ def test_stage_folders_go_when_their_block_ends(spark, log):
         assert k_core(log, min_user=2, min_item=3).rows.count() > 0
         assert left() > before
     assert left() == before
+
+
+def test_compaction_deals_blocks_by_rows(spark, tmp_path):
+    rows = spark.range(1000).select("id", F.lit("2025-01").alias("year_month"))
+    rows.coalesce(1).write.partitionBy("year_month").parquet(str(tmp_path / "in"))
+    # The bytes fit one task; creating the files must not be the work of one.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        compaction.compact(spark, str(tmp_path / "in"), str(tmp_path / "out"), "m", 25, 10)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r.id for r in out.collect()) == list(range(1000))
+    assert out.select("_metadata.file_path").distinct().count() > 4

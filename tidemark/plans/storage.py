@@ -13,6 +13,7 @@ from tidemark.operators import sampling as s
 from tidemark.operators import temporal as t
 from tidemark.operators import transforms as x
 from tidemark.operators.ordering import row_numbers
+from tidemark.operators.slices import tasks_for
 from tidemark.plans.tables import CLICKS_SQL, DISTINCT_SQL, INTERACTIONS_SQL, ITEMS_SQL, distinct_interactions, interactions, items, table
 from tidemark.plans.temporal import _ITEM_STATS
 from tidemark.schemas import CORRUPT, ITEM_VIEW
@@ -54,7 +55,9 @@ def compaction_rewrite(spark, sf_dir):
     """Interactions in many small files by month, merged: every row, and whether its output is named for it and filled."""
     rows = interactions(spark, sf_dir).withColumn("timestamp", F.unix_millis("timestamp"))
     place = _place(spark, "small")
-    reviews.with_month(rows).hint("rebalance", "year_month").write.option("maxRecordsPerFile", 500).partitionBy("year_month").parquet(f"{place}/in")
+    # Dealt by rows: by bytes, few tasks would create all of the files. Ranges leave few files short of 500 rows.
+    dealt = reviews.with_month(rows).repartitionByRange(tasks_for(rows, rows.count()), "year_month", "ts", "user_id", "parent_asin")
+    dealt.write.option("maxRecordsPerFile", 500).partitionBy("year_month").parquet(f"{place}/in")
     compaction.compact(spark, f"{place}/in", f"{place}/out", "merged", COMPACT_ROWS, COMPACT_BLOCK)
     merged = spark.read.parquet(f"{place}/out")
     part = lambda i: F.split("output", "_")[i]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import month_of_path
+from tidemark.operators.slices import tasks_for
 from tidemark.session import materialize
 
 MIN_ROWS = 100_000
@@ -65,16 +66,18 @@ def compact(
     """Rewrite ``folder`` with one output folder per bin.
 
     A row's place in its bin is its file's place there plus its index in the file. Bins are cut by place into blocks
-    of ``block_rows``, the unit that is shuffled and written: neither a large file nor a bin is one task's work.
+    of ``block_rows``, the unit that is shuffled and written: neither a large file nor a bin is one task's work. Creating
+    a file costs more than its few bytes, so blocks are dealt to tasks by rows and not by bytes.
     """
     binned = materialize(bins(file_counts(spark, folder), min_rows))
     before = Window.partitionBy("bin").orderBy("name").rowsBetween(Window.unboundedPreceding, -1)
     placed = binned.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     named = placed.join(bin_names(binned, prefix), "bin").select(F.col("name").alias("_file"), "output", "_before")
-    if binned.count() <= MAX_LISTED:
+    found = binned.agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("rows")).first()
+    if found["files"] <= MAX_LISTED:
         named = F.broadcast(named)
     read = spark.read.parquet(folder)
     rows = read.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
     block = F.expr(f"(_before + _index) div {block_rows}")
     merged = rows.join(named, "_file").withColumn("_block", block).select(*read.columns, "output", "_block")
-    merged.repartition("output", "_block").drop("_block").write.mode("overwrite").partitionBy("output").parquet(out)
+    merged.repartition(tasks_for(rows, found["rows"] or 0), "output", "_block").drop("_block").write.mode("overwrite").partitionBy("output").parquet(out)
