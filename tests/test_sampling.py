@@ -146,3 +146,16 @@ def test_k_core_writes_the_pairs_again_only_when_some_go(spark, monkeypatch):
     core = sampling.k_core(rows, min_user=10, min_item=10)
     assert core.converged and core.rounds == 1 and core.rows.count() == 100
     assert sum(written) == 100
+
+
+def test_row_numbers_of_few_rows_are_few_tasks(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        numbered = row_numbers(spark.range(60).select((F.col("id") * 7 % 60).alias("v")), [F.col("v")])
+        assert {r.v: r.row_id for r in numbered.collect()} == {v: v + 1 for v in range(60)}
+        assert len(numbered.inputFiles()) < 5
+        totals = running_totals(spark.range(60).select("id"), [F.col("id")], {"id": "upto"})
+        assert {r.id: r.upto for r in totals.collect()} == {i: i * (i + 1) // 2 for i in range(60)}
+        assert len(totals.inputFiles()) < 5
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
