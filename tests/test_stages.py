@@ -58,3 +58,64 @@ def test_embeddings_keep_only_the_pairs_that_they_train_on(spark, sparse):
     stored = [spark.read.parquet(p).columns for p in session._MADE[before:]]
     assert ["target", "context", "label"] in stored and not any("user" in c or "_user" in c or "user_id" in c for c in stored)
     assert found.count() == sparse.select("parent_asin").distinct().count()
+
+
+@pytest.mark.parametrize("few", [0, 1 << 20])
+def test_user_vectors_shuffle_no_partial_sums(spark, few, monkeypatch):
+    monkeypatch.setattr(models, "FEW_NUMBERS", few)
+    rows = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (2, 2), (3, 9), (None, 1)], "user_id bigint, parent_asin bigint")
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.5, 4.0])], "id bigint, vec array<float>")
+    found = models.user_vectors(rows, vectors, 2)
+    assert {r["qid"]: r["vec"] for r in found.collect()} == {1: [0.75, 2.0], 2: [0.5, 4.0], None: [1.0, 0.0]}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_avg") < plan.index("Exchange hashpartitioning(user_id")
+
+
+def test_lists_share_the_lookups_of_their_chunk(spark):
+    known = spark.createDataFrame([(f"i{i}", i) for i in range(50)], "item string, no bigint")
+    lists = [(u, t, ",".join(f"i{j}" for j in range(t, t + 3 + u % 9))) for u in range(20) for t in range(48)] + [(99, 0, None), (99, 1, "i1,x,i2"), (None, 2, "i1")]
+    rows = spark.createDataFrame(lists, "u bigint, t bigint, ids string").coalesce(1)
+    before = len(session._MADE)
+    found = sequences.mapped_sequences(rows, ["u", "t"], "ids", known, "item", "no", n=4)
+    got = {(r["u"], r["t"]): r["item_sequence"] for r in found.collect()}
+    want = {}
+    for u, t, ids in lists:
+        entries = [int(x[1:]) if x[0] == "i" and int(x[1:]) < 50 else 50 for x in ids.split(",")][-4:] if ids and u is not None else []
+        want[u, t] = [-1] * (4 - len(entries)) + entries
+    assert got == want
+    maps = [spark.read.parquet(p) for p in session._MADE[before:]]
+    looked_up = sum(m.agg(F.sum(F.size("_map"))).first()[0] for m in maps if "_map" in m.columns)
+    assert looked_up < sum(min(4, len(x[2].split(","))) for x in lists if x[2]) / 2
+
+
+def test_likely_places_hold_the_best_and_skip_most():
+    import numpy as np
+
+    from tidemark.operators.similarity import _likely
+
+    rng = np.random.default_rng(1)
+    for scale in (1.0, 1e-20, 1e20):
+        q, s = rng.normal(size=(30, 16)) * scale, rng.normal(size=(4000, 16))
+        s[100:200] = s[0] * (1 + 1e-9 * rng.normal(size=(100, 1)))  # too close for single precision
+        q[0], q[1] = s[0] * scale, 0.0
+        visit = np.ones((30, 2), dtype=bool)
+        visit[2] = [True, False]
+        floors = np.full(30, -np.inf)
+        floors[3] = np.sort(q[3] @ s.T)[-2]
+        qi, si = _likely(q, s, np.array([0, 2000]), np.array([2000, 4000]), visit, floors, 10)
+        sims = q @ s.T
+        sims[2, 2000:] = -np.inf
+        for i in range(30):
+            best = np.argsort(-sims[i], kind="stable")[:10] if i != 3 else np.argsort(-sims[3])[:2]
+            assert set(best) <= set(si[qi == i])
+        assert len(si[qi == 4]) < 40 and len(si[qi == 3]) < 20 and set(si[qi == 2]) <= set(range(2000))
+
+
+def test_blocks_to_visit_travel_as_bits(spark, monkeypatch):
+    from tidemark.operators import similarity as sim
+
+    seen, old = [], sim._score_shelves
+    monkeypatch.setattr(sim, "_score_shelves", lambda q, *rest: seen.append(q.schema["blocks"].dataType.simpleString()) or old(q, *rest))
+    vectors = spark.createDataFrame([(i, [float(i % 7), float(i % 5), 1.0]) for i in range(60)], "id bigint, vec array<float>")
+    sim.top_inner_products(vectors.withColumnRenamed("id", "qid"), vectors, 3, block_rows=8)
+    assert seen == ["binary", "binary"]
