@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.operators import models, negatives, sequences
+from tidemark.operators import models, negatives, sequences, training
 
 
 def shuffle_files(spark):
@@ -119,3 +119,28 @@ def test_blocks_to_visit_travel_as_bits(spark, monkeypatch):
     vectors = spark.createDataFrame([(i, [float(i % 7), float(i % 5), 1.0]) for i in range(60)], "id bigint, vec array<float>")
     sim.top_inner_products(vectors.withColumnRenamed("id", "qid"), vectors, 3, block_rows=8)
     assert seen == ["binary", "binary"]
+
+
+def test_user_lists_do_not_travel_with_the_items(spark):
+    rows = spark.range(400).select((F.col("id") % 40).alias("user_id"), F.pmod(F.xxhash64("id"), F.lit(60)).alias("parent_asin"), (F.col("id") % 5 + 1.0).alias("rating"), F.timestamp_seconds(F.col("id") * 3600).alias("timestamp"))
+    rows = session.materialize(rows)
+    cut = F.timestamp_seconds(F.lit(300 * 3600))
+    table = training.ranker_training_table(rows.filter(F.col("timestamp") < cut), rows.filter(F.col("timestamp") >= cut))
+    assert table.count() == 800
+    by_moment = table.groupBy("user_id", "timestamp").agg(F.count_distinct(F.struct(*training.USER_FEATURES)).alias("n"))
+    assert by_moment.filter("n <> 1").isEmpty()
+    assert table.filter(F.col("user_rating_cnt_90d") != F.floor(F.unix_seconds("timestamp") / 3600 / 40) + 1).isEmpty()
+    plan = table.agg(F.sum("user_rating_cnt_90d"), F.sum("label"))._jdf.queryExecution().executedPlan().toString()
+    assert "user_rating_cnt_90d" in plan and "recent_asin" not in plan
+
+
+def test_user_features_are_put_together_where_their_rows_stand(spark):
+    from tidemark.operators import temporal
+
+    rows = session.materialize(spark.range(400).select((F.col("id") % 40).alias("user_id"), (F.col("id") % 7).alias("parent_asin"), (F.col("id") % 5 + 1.0).alias("rating"), F.timestamp_seconds(F.col("id") * 3600).alias("timestamp")))
+    rows = rows.unionByName(rows.limit(3).withColumn("user_id", F.lit(None).cast("bigint")))
+    found = temporal.user_features(rows)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    assert found.count() == 400 and found.filter("dedup_rn <> 1 OR user_rating_cnt_90d IS NULL").isEmpty()
+    hot = temporal.user_features(rows, max_rows=4)
+    assert hot.exceptAll(found).isEmpty() and hot.count() == 400
